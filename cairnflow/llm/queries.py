@@ -5,9 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.llm import abuse, mixing, names, packing, tokens
+from cairnflow.llm import abuse, linkage, mixing, names, packing, tokens
 from cairnflow.session import cut, table
 
+# ---------------------------------------------------------------- firms and advisers
+
+
+def _firms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    firms = table(spark, d, "mdm_company").select(F.col("entity_id").alias("entity"), F.col("canonical_name").alias("name"), linkage.place_code(F.col("state_of_incorporation")).alias("place"), F.col("valid_to").isNull().alias("active"))
+    funds = table(spark, d, "sec_adv_private_fund").where(F.col("adviser_crd_number").isNotNull())
+    filings = table(spark, d, "sec_adv_filing").where(F.col("crd_number").isNotNull())
+    told = filings.select(F.col("crd_number").alias("query"), F.lit("own").alias("kind"), F.col("adviser_name").alias("text")).unionByName(funds.select(F.col("adviser_crd_number").alias("query"), F.lit("part").alias("kind"), F.col("fund_name").alias("text")))
+    lain = funds.select(F.col("adviser_crd_number").alias("query"), "private_fund_id", linkage.place_code(F.col("jurisdiction")).alias("place")).where(F.col("place").isNotNull()).distinct().groupBy("query", "place").agg(F.count(F.lit(1)).alias("n"))
+    return firms, told, lain
+
+
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of firm and adviser with cosine, log odds and confidence."""
+    return linkage.match_records(*_firms(spark, d)).withColumnsRenamed({"entity": "entity_id", "query": "adviser_crd_number"})
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_matches(spark, d).select("entity_id", "adviser_crd_number")
+
+
 # ---------------------------------------------------------------- variant spellings
 
 
@@ -118,5 +139,5 @@ def p10_source_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.source_rates(_scored(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_groups, p8_containers, p8_fills, p8_summary, p9_mix, p9_shares, p10_found, p10_scores, p10_source_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p6_found, p6_groups, p8_containers, p8_fills, p8_summary, p9_mix, p9_shares, p10_found, p10_scores, p10_source_rates)}
 SQL: dict[str, str] = {}
