@@ -40,3 +40,61 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     label = links.groupBy("u").agg(F.min("v").alias("m"))
     every = nodes.select(F.col("u").alias("node")).unionByName(nodes.select(F.col("v").alias("node"))).distinct()
     return every.join(label, every["node"] == label["u"], "left").select("node", F.coalesce("m", "node").alias("component"))
+
+
+def canonical_ids(merges: DataFrame, old: str, new: str, most_hops: int = 10) -> DataFrame:
+    """(old, canonical): every merged id with the end of its chain, followed at most ``most_hops`` steps.
+
+    A cycle has no end: its members stay themselves. Pointer doubling needs few rounds.
+    """
+    links = merges.where(F.col(old).isNotNull() & F.col(new).isNotNull() & (F.col(old) != F.col(new))).groupBy(F.col(old).alias("o")).agg(F.min(new).alias("n"))
+    jumps, hops = cut(links), 1
+    while hops < most_hops:
+        ahead = jumps.select(F.col("o").alias("n"), F.col("n").alias("further"))
+        moved = cut(jumps.join(ahead, "n", "left").select("o", F.coalesce("further", "n").alias("n")))
+        hops *= 2
+        if moved.join(jumps, ["o", "n"], "left_anti").isEmpty():
+            jumps = moved
+            break
+        jumps = moved
+    ends = jumps.join(links.select(F.col("o").alias("__more")), F.col("n") == F.col("__more"), "left")
+    return ends.select(F.col("o").alias(old), F.when(F.col("__more").isNull(), F.col("n")).otherwise(F.col("o")).alias("canonical"))
+
+
+def neighbourhood(edges: DataFrame, start: DataFrame, source: str, target: str, hops: int, node: str = "node") -> DataFrame:
+    """(start, node, hops): nodes within ``hops`` undirected steps of every start, each at its least distance.
+
+    All starts go together; a round joins the new frontier with the edges and drops what was seen.
+    """
+    both = edges.select(F.col(source).alias("u"), F.col(target).alias("v")).unionByName(edges.select(F.col(target).alias("u"), F.col(source).alias("v"))).where("u IS NOT NULL AND v IS NOT NULL").distinct()
+    seen = cut(start.select(F.col(node).alias("start"), F.col(node), F.lit(0).alias("hops")).distinct())
+    frontier = seen
+    for i in range(1, hops + 1):
+        reached = frontier.join(both, frontier[node] == both["u"]).select("start", F.col("v").alias(node)).distinct()
+        frontier = cut(reached.join(seen, ["start", node], "left_anti").withColumn("hops", F.lit(i)))
+        seen = seen.unionByName(frontier)
+    return seen
+
+
+def shared_neighbours(edges: DataFrame, source: str, target: str, a, b) -> DataFrame:
+    """Sources that lead to both targets ``a`` and ``b``."""
+    return edges.where(F.col(target) == a).select(source).intersect(edges.where(F.col(target) == b).select(source))
+
+
+def settle_versions(edges: DataFrame, key: str, start: str, end: str, priority: str, order: Sequence[str], evidence: Sequence[str]) -> DataFrame:
+    """Adds ``state`` to versioned edges of one key: current, superseded, quarantined or duplicate.
+
+    Equal evidence: the first by ``order`` stays, others are duplicates. Overlapping and different: the least
+    ``priority`` number wins and the others are superseded; without a sole winner all that tie are quarantined. Disjoint ones are
+    all current. Sets are judged per key, so the result doesn't depend on arrival.
+    """
+    from pyspark.sql import Window
+
+    first = F.row_number().over(Window.partitionBy(key, *evidence, start, end).orderBy(*order))
+    rows = edges.withColumn("__first", first).withColumn("__id", F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (key, *order, *evidence, start, end))), 256))
+    unique = rows.where("__first = 1")
+    other = unique.select(F.col(key).alias("k2"), F.col("__id").alias("id2"), F.col(start).alias("s2"), F.col(end).alias("e2"), F.col(priority).alias("p2"))
+    clash = unique.join(other, (F.col(key) == F.col("k2")) & (F.col("__id") != F.col("id2")) & (F.col(end).isNull() | F.col("s2").isNull() | (F.col("s2") < F.col(end))) & (F.col("e2").isNull() | F.col(start).isNull() | (F.col(start) < F.col("e2"))))
+    worst = clash.groupBy("__id").agg(F.max(F.col("p2") < F.col(priority)).alias("beaten"), F.max(F.col("p2") == F.col(priority)).alias("tied"))
+    state = F.when(F.col("__first") > 1, "duplicate").when(F.col("beaten"), "superseded").when(F.col("tied"), "quarantined").otherwise("current")
+    return rows.join(worst, "__id", "left").withColumn("state", state).select(*edges.columns, "state")
