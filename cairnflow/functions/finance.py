@@ -38,16 +38,16 @@ def weighted_terms(terms: Sequence[tuple[float, Column]], constant: float, least
     return F.when(known >= least, F.round(total, digits))
 
 
-def manipulation_score(terms: dict[str, Column]) -> Column:
+def manipulation_score(terms: dict[str, Column], digits: int = 4) -> Column:
     """Beneish M from its eight indices (dsri, gmi, aqi, sgi, depi, sgai, lvgi, tata); at least two must be known."""
     weights = {"dsri": 0.920, "gmi": 0.528, "aqi": 0.404, "sgi": 0.892, "depi": 0.115, "sgai": -0.172, "tata": 4.679, "lvgi": -0.327}
-    return weighted_terms([(w, terms[k]) for k, w in weights.items()], -4.84, 2)
+    return weighted_terms([(w, terms[k]) for k, w in weights.items()], -4.84, 2, digits)
 
 
-def distress_score(working: Column, retained: Column, earnings: Column, equity: Column, sales: Column, assets: Column, liabilities: Column) -> Column:
+def distress_score(working: Column, retained: Column, earnings: Column, equity: Column, sales: Column, assets: Column, liabilities: Column, digits: int = 4) -> Column:
     """Altman Z; NULL without assets, at least two of the five terms must be known."""
     a = F.nullif(assets, F.lit(0.0))
-    return F.when(a.isNotNull(), weighted_terms([(1.2, working / a), (1.4, retained / a), (3.3, earnings / a), (0.6, safe_ratio(equity, liabilities)), (1.0, sales / a)], 0.0, 2))
+    return F.when(a.isNotNull(), weighted_terms([(1.2, working / a), (1.4, retained / a), (3.3, earnings / a), (0.6, safe_ratio(equity, liabilities)), (1.0, sales / a)], 0.0, 2, digits))
 
 
 def strength_score(signals: Sequence[Column]) -> Column:

@@ -7,6 +7,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def scaled_number(c: Column) -> Column:
@@ -102,7 +103,7 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro) if jaro > 0.7 else jaro
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler over Arrow batches; NULL with NULL."""
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")

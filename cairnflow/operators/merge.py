@@ -62,6 +62,20 @@ def collapse(log: DataFrame, spec: MergeSpec, seq: str) -> DataFrame:
     return rows.select(*spec.key, seq, *(value[c].alias(c) for c in columns))
 
 
+def essential(log: DataFrame, spec: MergeSpec, seq: str) -> DataFrame:
+    """The rows of a log that its collapse rests on: per key the first, the last, and the last known of each coalesced column.
+
+    collapse(essential(a) + b) equals collapse(a + b) whatever order rows arrive in, so this is all a stream must keep.
+    """
+    columns = [c for c in log.columns if c not in spec.key]
+    row = F.struct(F.col(seq).alias("__s"), *columns)
+    kept = [c for c in columns if c != seq and ("*" in spec.coalesce or c in spec.coalesce)]
+    picks = [F.max(row), F.min(row), *(F.max(F.when(F.col(c).isNotNull(), row)) for c in kept)]
+    grouped = log.groupBy(*spec.key).agg(*(p.alias(f"__p{i}") for i, p in enumerate(picks)))
+    rows = grouped.select(*spec.key, F.explode(F.array_distinct(F.array_compact(F.array(*(F.col(f"__p{i}") for i in range(len(picks))))))).alias("r"))
+    return rows.select(*spec.key, *(F.col(f"r.{c}").alias(c) for c in columns)).select(*log.columns)
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str], insert_only: bool = False) -> DataFrame:
     """Rows of ``batch`` replace those of ``target`` with their key; with ``insert_only`` existing keys stay as they are.
 

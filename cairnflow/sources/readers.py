@@ -32,7 +32,7 @@ def fixed_width_index(lines: DataFrame, line: str = "value") -> DataFrame:
     pattern = r"^(\S.*?)\s{2,}(.+?)\s{2,}(\d+)\s+(\d{8}|\d{4}-\d{2}-\d{2})\s+(\S+)\s*$"
     part = lambda i: F.regexp_extract(line, pattern, i)
     rows = lines.where(F.col(line).rlike(pattern))
-    return rows.select(part(1).alias("form"), part(2).alias("company"), part(3).cast("long").alias("cik"), F.coalesce(F.try_to_date(part(4), F.lit("yyyyMMdd")), F.try_to_date(part(4))).alias("filed"), part(5).alias("file_name"), F.sha2(F.trim(line), 256).alias("record_hash"))
+    return rows.select(part(1).alias("form"), part(2).alias("company"), part(3).cast("long").alias("cik"), F.coalesce(F.try_to_date(part(4), "yyyyMMdd"), F.try_to_date(part(4))).alias("filed"), part(5).alias("file_name"), F.sha2(F.trim(line), 256).alias("record_hash"))
 
 
 def ticker_rows(df: DataFrame, payload: str) -> DataFrame:

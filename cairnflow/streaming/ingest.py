@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairnflow.operators.merge import MergeSpec, collapse
+from cairnflow.operators.merge import MergeSpec, collapse, essential
 
 
 def file_stream(spark: SparkSession, folder: str, schema, kind: str = "parquet", per_batch: int | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def run_available(stream: DataFrame, checkpoint: str, handle: Callable[[DataFram
 
 
 def merge_stream(stream: DataFrame, target: str, checkpoint: str, spec: MergeSpec, seq: str) -> None:
-    """Keeps ``target`` collapsed by ``spec``: the table of batch n is written beside that of n - 1, then a pointer moves.
+    """Keeps in ``target`` the rows that the collapse by ``spec`` rests on: the table of batch n is written beside that of n - 1, then a pointer moves.
 
     A batch that was already merged is skipped, and collapsing is idempotent, so replays and late or repeated rows change nothing
     that their sequence doesn't entitle them to.
@@ -37,7 +37,7 @@ def merge_stream(stream: DataFrame, target: str, checkpoint: str, spec: MergeSpe
         if done is not None and number <= done:
             return
         rows = batch if done is None else spark.read.parquet(os.path.join(target, f"batch={done}")).unionByName(batch)
-        collapse(rows, spec, seq).write.mode("overwrite").parquet(os.path.join(target, f"batch={number}"))
+        essential(rows, spec, seq).write.mode("overwrite").parquet(os.path.join(target, f"batch={number}"))
         spark.createDataFrame([(number,)], "batch long").coalesce(1).write.mode("overwrite").json(os.path.join(target, "_pointer"))
 
     run_available(stream, checkpoint, handle)
@@ -53,8 +53,9 @@ def _last(spark: SparkSession, target: str) -> int | None:
     return row["batch"] if row else None
 
 
-def merged(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(target, f"batch={_last(spark, target)}"))
+def merged(spark: SparkSession, target: str, spec: MergeSpec, seq: str) -> DataFrame:
+    """The collapsed table as of the last batch."""
+    return collapse(spark.read.parquet(os.path.join(target, f"batch={_last(spark, target)}")), spec, seq)
 
 
 def windowed_counts(stream: DataFrame, at: str, key: str, size: str = "1 day", late: str = "2 days", slide: str | None = None) -> DataFrame:
