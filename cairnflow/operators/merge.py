@@ -105,13 +105,13 @@ def authority_merge(canonical: DataFrame, candidate: DataFrame, spec: MergeSpec)
     Equal content (NULL-safe, without key, provenance and authority) leaves the canonical row whole. Else the
     strictly greater authority wins; a tie or a NULL authority is a conflict, and the caller must abort.
     Where the candidate wins, a NULL mdm_entity_id keeps the canonical value. Columns only the candidate has are
-    added. Each side has one row per key.
+    added and, like those only the canonical has, not compared. Each side has one row per key.
     """
     extra = [c for c in candidate.columns if c not in canonical.columns]
     columns = [c for c in canonical.columns if c not in spec.key] + extra
     a = canonical.select(*spec.key, F.lit(True).alias("__a"), *(F.col(c).alias(f"__a_{c}") if c in canonical.columns else F.lit(None).cast(dict(candidate.dtypes)[c]).alias(f"__a_{c}") for c in columns))
     b = candidate.select(*spec.key, F.lit(True).alias("__b"), *(F.col(c).alias(f"__b_{c}") if c in candidate.columns else F.lit(None).cast(dict(canonical.dtypes)[c]).alias(f"__b_{c}") for c in columns))
-    compared = [c for c in columns if c not in spec.provenance and c != spec.authority]
+    compared = [c for c in columns if c not in spec.provenance and c != spec.authority and c in canonical.columns and c in candidate.columns]
     same = F.lit(True)
     for c in compared:
         same = same & F.col(f"__a_{c}").eqNullSafe(F.col(f"__b_{c}"))

@@ -349,7 +349,7 @@ def gr_neighbourhood(spark, d):
     return graph.neighbourhood(e, start, "u", "v", 2)
 
 
-@query(f"""WITH RECURSIVE e AS ({_EDGES}), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r AS (SELECT u AS node, u AS seen FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.seen) SELECT node, min(seen) AS component FROM r GROUP BY node""")
+@query(f"""WITH RECURSIVE e AS ({_EDGES}), b AS (SELECT u, v FROM e WHERE u <> v UNION SELECT v, u FROM e WHERE u <> v), r AS (SELECT u AS node, u AS seen FROM b UNION SELECT r.node, b.v FROM r JOIN b ON b.u = r.seen) SELECT node, min(seen) AS component FROM r GROUP BY node""")
 def gr_components(spark, d):
     return graph.components(_edges(spark, d), "u", "v")
 
