@@ -11,8 +11,6 @@ from cairnflow.functions.text import bare_name, name_similarity
 
 #: Thresholds of automatic and reviewed matches per kind (fixed values).
 THRESHOLDS = {"person": (0.92, 0.80), "company": (0.95, 0.85), "adviser": (0.92, 0.80)}
-#: Sources by trust, 1 first (fixed values).
-SOURCE_RANK = {"edgar_cik": 1, "adv_filing": 2, "ownership_filing": 3, "derived": 4}
 
 
 def exact_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str) -> DataFrame:
