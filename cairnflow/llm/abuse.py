@@ -14,6 +14,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from re import _constants as _C, _parser
 
 import numpy as np
 import pandas as pd
@@ -282,11 +283,6 @@ SOBER: list[str] = [
     r"\b(?:breeds?|raises?|sells?|slaughters?|farms?) (?:pigs?|dogs?|cows?|swine|rats?)\b", r"\bdumb ?bell\b", r"\bdirty (?:price|bomb|bulk|float)\b", r"\bstupid (?:mistake|of me|to sell|to buy)\b", r"\bnaked (?:short|option|call|put|eye)\w*", r"\b(?:well|oh|holy|no|bull) ?shit\b", r"\bbastard operator\b", r"\brat race\b", r"\bpiggy bank\b", r"\bdog(?:s)? of the dow\b", r"\bbull dog\b",
     r"\bwatch ?dog\b", r"\bcash cow\b", r"\bdead cat\b", r"\bguinea pigs?\b", r"\bpig iron\b", r"\bworm (?:gear|drive)s?\b", r"\bsnake (?:oil|river)\b",
 ]
-TRIGGERS = sorted({
-    *HARD, *SOFT, *(p.split()[0] + " " + p.split()[1] for p in PHRASES), "braindead", "pathetic", "disgusting", "fuck", "screw you", "screw y", "shit", "kiss my", "suck", "piss off", "your mother", "deserve", "breathe", "rot", "choke", "drop dead", "wake up", "kill ", "drown", "hang y", "jump off", "bleed", "kids will", "lives", "bone", "burn", "inside", "one eye", "beat the", "bullet", "would miss", "train did", "coming ", "throat", "slit", "smash",
-    "subhuman", "sub human", "vermin", "plague", "thieves", "filth", "serve", "belong in", "cage", "inferior", "back to the", "crawled", " back", "never trust", "never hire", "hate", "despise", "orders from", "when you hire", "when you let", "let in", "horny", "hot singles", "xxx", "porn", "pussy", "nude", "dick", "blowjob", "blow job", "handjob", "cum", "gangbang", "gang bang", "dildo", "masturbat", "jerk", "orgasm", "cock", "penis", "tits", "boob", "my ass", "her ass", "bang ", "over the table", "over the desk", "naked body", "undressed", "moaned", "rode", "ride ", "both came", "tongue", "her legs", "dress", "on the desk", "panties",
-    "puta", "puto", "imbecil", "gilipollas", "cabron", "zorra", "maricon", "mueras", "matar", "muerete", "pendej", "malparid", "asqueros", "escoria", "subnormal", "connard", "connasse", "salope", "salaud", "pourriture", "crever", "encul", "gueule", "pute", "putain", "batard", "tuer", "ordure", "enfoire", "merde", "basura", "los echen", "nique ta", "sale ", "racaille", "vermine", "arschloch", "schlampe", "abschaum", "hurensohn", "fotze", "wichser", "missgeburt", "drecks", "verreck", "fresse", "fick", "bring dich", "untermensch", "ungeziefer", "vollidiot", "nutte", "miststuck", "rausgeworfen",
-})
 LEXICON = tuple(HARD + SOFT + PHRASES + SLURS + GROUPS + "fuck fucking fucked screw yourself shit ass bleed bone bullet burn house drowned choke rot subhuman vermin plague filth thieves cage kitchen horny singles porn uncensored pussy nudes cock suck tits bang undressed naked tongue moaned dress desk rode came bend table crawled hole serve birth oxygen".split())
 
 _RULES = [(w, kind, re.compile(p)) for w, kind, p in RULES]
@@ -295,16 +291,91 @@ _SENTENCE = re.compile(r"[^.!?\n]+(?:[.!?](?=\S)[^.!?\n]*)*[.!?\n'\"]*\s*")
 _CLEAN = re.compile(r"[^a-z0-9.,!?:;'\" -]+")
 
 
+#: More spellings than these are not written out one by one.
+_SPELLINGS = 600
+
+
+def _spellings(nodes) -> set[str] | None:
+    """All texts that a parsed pattern matches, tests of what is around them aside; None for too many."""
+    out = {""}
+    for op, arg in nodes:
+        if op is _C.LITERAL:
+            one = {chr(arg)}
+        elif op is _C.IN and all(x is _C.LITERAL for x, _ in arg):
+            one = {chr(c) for _, c in arg}
+        elif op is _C.SUBPATTERN:
+            one = _spellings(arg[3])
+        elif op is _C.BRANCH:
+            each = [_spellings(x) for x in arg[1]]
+            one = None if None in each else set().union(*each)
+        elif op is _C.MAX_REPEAT and arg[1] == 1:
+            one = _spellings(arg[2])
+            one = one if one is None or arg[0] else one | {""}
+        elif op in (_C.AT, _C.ASSERT, _C.ASSERT_NOT):
+            one = {""}
+        else:
+            one = None
+        if one is None or len(out) * len(one) > _SPELLINGS:
+            return None
+        out = {x + y for x in out for y in one}
+    return out
+
+
+def _needed(nodes) -> set[str]:
+    """Runs of letters of which every match of a parsed pattern has one; {''} where there are none such.
+
+    Of the parts of a pattern that all must match, the one whose shortest run is longest.
+    """
+    found, run = [], {""}
+    for node in nodes:
+        op, arg = node
+        one = _spellings([node])
+        if one is not None and len(run) * len(one) <= _SPELLINGS:
+            run = {x + y for x in run for y in one}
+            continue
+        found.append(run)
+        run = one or {""}
+        if one is None and op is _C.SUBPATTERN:
+            found.append(_needed(arg[3]))
+        elif one is None and op is _C.BRANCH:
+            found.append(set().union(*map(_needed, arg[1])))
+        elif one is None and op is _C.MAX_REPEAT and arg[0]:
+            found.append(_needed(arg[2]))
+    letters = [{max(re.findall("[a-z]+", x), key=len, default="") for x in texts} for texts in [*found, run]]
+    return max(letters, key=lambda texts: (min(map(len, texts)), -len(texts)))
+
+
+def _triggers() -> tuple[dict[str, list[int]], list[int]]:
+    """Runs of letters with the rules that need one of them, and the rules that need none.
+
+    They are read off the rules themselves, so no match of a rule is without one. Cleaning keeps letters
+    that stand together as they are, and other senses are only blanked.
+    """
+    out: dict[str, list[int]] = {}
+    free = []
+    for k, (_, _, pattern) in enumerate(RULES):
+        texts = _needed(_parser.parse(pattern))
+        if "" in texts:
+            free.append(k)
+            continue
+        for t in texts:
+            out.setdefault(t, []).append(k)
+    return out, free
+
+
+TRIGGERS, _FREE = _triggers()
+
+
 def _finder():
-    """Whether a text has any trigger: by an automaton where one is installed."""
+    """(end, rules) of every trigger in a text: by an automaton where one is installed."""
     try:
         import ahocorasick
     except ImportError:
-        found = re.compile("|".join(map(re.escape, TRIGGERS)))
-        return lambda text: [(m.end() - 1, m[0]) for m in found.finditer(text)]
+        found = [(re.compile(f"(?={t})"), len(t) - 1, rules) for t, rules in TRIGGERS.items()]
+        return lambda text: [(m.start() + n, rules) for p, n, rules in found for m in p.finditer(text)]
     machine = ahocorasick.Automaton()
-    for t in TRIGGERS:
-        machine.add_word(t, t)
+    for t, rules in TRIGGERS.items():
+        machine.add_word(t, rules)
     machine.make_automaton()
     return lambda text: list(machine.iter(text))
 
@@ -315,20 +386,22 @@ _find = None
 def sentence_scores(restored: str) -> list[tuple[float, str]]:
     """(weight, kind) of the sentences of a restored text that any rule matches.
 
-    Only the neighbourhood of triggers is looked at: the sentence of each, with the one after it (an
-    insult may stand alone before 'That is all ...').
+    A rule is tried on the sentences that hold one of its triggers, with the one after it (an
+    insult may stand alone before 'That is all ...'); on the others it can't match.
     """
     global _find
     if _find is None:
         _find = _finder()
     hits = _find(restored)
-    if not hits:
+    if not hits and not _FREE:
         return []
     out = []
     spans = [m.span() for m in _SENTENCE.finditer(restored)]
     ends = np.array([e for _, e in spans])
-    near = sorted(set(np.searchsorted(ends, [at for at, _ in hits], side="right").tolist()))
-    for k in near:
+    near: dict[int, set[int]] = {k: set(_FREE) for k in range(len(spans))} if _FREE else {}
+    for k, (_, rules) in zip(np.searchsorted(ends, [at for at, _ in hits], side="right").tolist(), hits):
+        near.setdefault(k, set()).update(rules)
+    for k in sorted(near):
         if k >= len(spans):
             continue
         i, j = spans[k]
@@ -338,7 +411,7 @@ def sentence_scores(restored: str) -> list[tuple[float, str]]:
         if follows.lstrip().startswith("that is all"):
             text += " that is all"
         text = _SOBER.sub(" ~ ", text)
-        best = max(((w, kind) for w, kind, p in _RULES if p.search(text)), default=None)
+        best = max(((w, kind) for w, kind, p in map(_RULES.__getitem__, near[k]) if p.search(text)), default=None)
         if best:
             out.append(best)
     return out

@@ -1,3 +1,6 @@
+import re
+import sys
+
 import numpy as np
 import pytest
 
@@ -88,3 +91,47 @@ def test_calibration_is_finite(spark):
     for labels in ([], [(1, 1), (1, 1), (2, 0), (2, None)], [(1, 1)]):
         slope, base = abuse.calibrate(scored, spark.createDataFrame(labels, "doc_id long, flagged int"))
         assert np.isfinite([slope, base]).all()
+
+
+def examples(nodes):
+    """Texts that a parsed pattern matches, in which every one of its alternatives occurs."""
+    out = [""]
+    for op, arg in nodes:
+        match str(op):
+            case "LITERAL":
+                one = [chr(arg)]
+            case "IN":
+                one = [next((chr(x) for k, x in arg if str(k) == "LITERAL"), "x")]
+            case "SUBPATTERN":
+                one = examples(arg[3])
+            case "BRANCH":
+                one = [x for a in arg[1] for x in examples(a)]
+            case "MAX_REPEAT":
+                one = [x * max(1, arg[0]) for x in examples(arg[2])] + [""] * (arg[0] == 0)
+            case _:
+                one = [""]
+        n = max(len(out), len(one))
+        out = [out[i % len(out)] + one[i % len(one)] for i in range(n)]
+    return out
+
+
+@pytest.mark.parametrize("automaton", [True, False])
+def test_no_trigger_hides_a_rule(monkeypatch, automaton):
+    """Every alternative of every rule, alone in its sentence, scores as if all rules were tried on it."""
+    if not automaton:
+        monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    monkeypatch.setattr(abuse, "_find", None)
+    tried = 0
+    for _, _, pattern in abuse.RULES:
+        for text in examples(re._parser.parse(pattern)):
+            clean = re.sub(r"\s+", " ", abuse._SOBER.sub(" ~ ", abuse._CLEAN.sub(" ", text).strip()))
+            want = max(((w, k) for w, k, p in abuse._RULES if p.search(clean)), default=None)
+            if want and len(list(abuse._SENTENCE.finditer(text))) == 1:
+                tried += 1
+                assert want in abuse.sentence_scores(f"the lease ended. {text}"), text
+    assert tried > 400
+
+
+@pytest.mark.parametrize("text", ["I hope you die.", "I hope she gets cancer.", "You should have been shot.", "You will die for this.", "Immigrants are not human.", "Get rid of immigrants.", "Foreigners should be deported.", "He is a stupid man.", "Go screw himself.", "Cave his head in."])
+def test_rules_without_a_second_word(text):
+    assert abuse.sentence_scores(text.lower())
