@@ -65,3 +65,26 @@ def test_recall_against_brute_force(spark, small):
     hit = sum((i, j) in found for i, (_, j) in best.items())
     print(f"recall {hit} of {len(best)}, {len(found)} candidates of {len(e) * q.id.nunique()} pairs")
     assert len(best) > 40 and hit >= 0.9 * len(best)
+
+
+def test_pairs_that_meet_once_are_candidates(spark):
+    """One shared bucket of 40 is enough; a pair is dropped only where no word can be alike."""
+    apart = lambda n: [(1 << 20) + i + 1000 * n for i in range(linkage.TABLES)]
+    shared = lambda n: [5, *apart(n)[1:]]
+    q = spark.createDataFrame([(1, shared(1), ["hufuzil", "fund"]), (2, apart(50_000), ["hufuzil"])], "query long, keys array<long>, words array<string>")
+    x = spark.createDataFrame([(7, shared(90_000), ["hufuzli"]), (8, shared(120_000), ["ziwarit"])], "id long, keys array<long>, rare array<string>")
+    assert {tuple(r) for r in linkage.near(q.drop("words"), x).collect()} == {(1, 7), (1, 8)}
+    assert {tuple(r) for r in linkage.near(q, x).collect()} == {(1, 7)}
+
+
+def test_no_word_that_counts_is_dropped(spark):
+    """may_be_alike against rerank_score's own likeness, over misspelt, cut, joined and unrelated words."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abeilnorst") for _ in range(rnd.randint(1, 11))) for _ in range(60)]
+    for w in words[:]:
+        i = rnd.randrange(len(w))
+        words += [w[:i] + w[i + 1 :] or w, w[:i] + "e" + w[i:], w[:i] + "ns" + w[i + 1 :], w + rnd.choice(words), rnd.choice(words) + w, w[0] + "".join(c for c in w[1:] if rnd.random() < 0.6), w[0] + "".join(rnd.sample(w[1:], len(w) - 1)), w[::-1]]
+    frame = spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "w string")
+    kept = {tuple(r) for r in frame.crossJoin(frame.withColumnRenamed("w", "v")).where(linkage.may_be_alike(F.col("w"), F.col("v"))).collect()}
+    counted = {(w, v) for w in words for v in words if linkage.rerank_score([w], None, {v: (1.0, 1.0)}, [], {}, {}, {w: 5.0}, {})[1] >= linkage.HIT}
+    assert len(counted) > 1000 and counted <= kept
