@@ -154,6 +154,28 @@ def ups_seed(spark, d):
     return merge.upsert(*_halves(spark, d), ["c_custkey"], insert_only=True)
 
 
+def _whole(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All customers as a target, and a batch of the even keys changed and of the odd ones under new, negative keys."""
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    key = F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("c_custkey")
+    return c, c.select(key, "c_mktsegment", (F.col("c_acctbal") + 1).alias("c_acctbal"))
+
+
+@query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer UNION ALL SELECT -c_custkey, c_mktsegment, c_acctbal + 1 FROM customer WHERE c_custkey % 2 = 1")
+def ups_merge_whole(spark, d):
+    return merge.merge_matched(*_whole(spark, d), ["c_custkey"])
+
+
+@query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer UNION ALL SELECT -c_custkey, c_mktsegment, c_acctbal + 1 FROM customer WHERE c_custkey % 2 = 1")
+def ups_upsert_whole(spark, d):
+    return merge.upsert(*_whole(spark, d), ["c_custkey"])
+
+
+@query("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer UNION ALL SELECT -c_custkey, c_mktsegment, c_acctbal + 1 FROM customer WHERE c_custkey % 2 = 1")
+def ups_seed_whole(spark, d):
+    return merge.upsert(*_whole(spark, d), ["c_custkey"], insert_only=True)
+
+
 @query("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING' UNION ALL SELECT c_custkey, c_mktsegment, 0.0 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 3 = 0")
 def ups_replace_scope(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")

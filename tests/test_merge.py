@@ -1,10 +1,12 @@
 import itertools
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from cairnflow.operators import merge
+from cairnflow.plans import filings
 from cairnflow.streaming import ingest
 
 LOG = [("a", 1, "x", None, 5), ("a", 3, "y", "k", None), ("a", 2, "z", "q", 7), ("b", 1, None, None, None), (None, 9, "n", None, 1)]
@@ -71,3 +73,12 @@ def test_stream_equals_batch_and_replays_change_nothing(spark, tmp_path):
     run()
     assert sorted(map(str, ingest.merged(spark, str(tmp_path / "out"), spec, "seq").collect())) == want
     assert os.path.isdir(tmp_path / "ck")
+
+
+@pytest.mark.parametrize("name", ["ups_merge_whole", "ups_upsert_whole", "ups_seed_whole"])
+def test_merges_take_whole_tables(spark, small, name):
+    """Every customer, at a size where the keys go far beyond 1000, is matched, kept or inserted anew."""
+    base = small.replace("sf0.001", "sf0.1")
+    keys = [r[0] for r in spark.read.parquet(f"{base}/customer.parquet").select("c_custkey").collect()]
+    got = Counter(r[0] for r in filings.QUERIES[name](spark, base).select("c_custkey").collect())
+    assert max(keys) > 10_000 and got == Counter(keys) + Counter(-k for k in keys if k % 2)
