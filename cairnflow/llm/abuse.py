@@ -146,11 +146,19 @@ def _code(c: str) -> int:
     return 0 if c == " " else ord(c) - 96 if "a" <= c <= "z" else OTHER
 
 
+def _read(chain: tuple) -> str:
+    out = []
+    while chain:
+        chain, x = chain
+        out.append(x)
+    return "".join(reversed(out))
+
+
 def viterbi(span: str, model: np.ndarray, beam: int = 24) -> str:
     """The most likely reading of a span. States are the last three symbols; ``beam`` of them are kept."""
-    best: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
+    best: dict[tuple[int, int, int], tuple[float, tuple]] = {(0, 0, 0): (0.0, ())}  # readings are chains of (all before, last), so a long span takes time in proportion
     for arcs in lattice(span):
-        grown: dict[tuple[int, int, int], tuple[float, str]] = {}
+        grown: dict[tuple[int, int, int], tuple[float, tuple]] = {}
         for (a, b, c), (score, read) in best.items():
             row = model[(a * SYMBOLS + b) * SYMBOLS + c]
             for x, cost in arcs:
@@ -159,13 +167,13 @@ def viterbi(span: str, model: np.ndarray, beam: int = 24) -> str:
                     if code == 0 and c == 0:
                         state, value, text = (a, b, c), score + cost, read
                     else:
-                        state, value, text = (b, c, code), score + cost + float(row[code]), read + x
+                        state, value, text = (b, c, code), score + cost + float(row[code]), (read, x)
                 else:
                     state, value, text = (a, b, c), score + cost, read
                 if state not in grown or grown[state][0] < value:
                     grown[state] = (value, text)
         best = dict(sorted(grown.items(), key=lambda kv: -kv[1][0])[:beam])
-    ended = [(score + (0.0 if state[2] == 0 else float(model[(state[0] * SYMBOLS + state[1]) * SYMBOLS + state[2]][0])), read) for state, (score, read) in best.items()]
+    ended = [(score + (0.0 if state[2] == 0 else float(model[(state[0] * SYMBOLS + state[1]) * SYMBOLS + state[2]][0])), _read(chain)) for state, (score, chain) in best.items()]
     return max(ended)[1].strip()
 
 
@@ -194,10 +202,6 @@ def restore(text: str, read) -> str:
             while j < len(text) and not text[j].isspace():
                 j += 1
         span = text[i:j]
-        if len(span) > 200:
-            out.append(text[done:j])
-            done = j
-            continue
         core = span.strip(_EDGE)
         if not core or _NUMERIC.match(core):
             continue

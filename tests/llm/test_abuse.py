@@ -135,3 +135,10 @@ def test_no_trigger_hides_a_rule(monkeypatch, automaton):
 @pytest.mark.parametrize("text", ["I hope you die.", "I hope she gets cancer.", "You should have been shot.", "You will die for this.", "Immigrants are not human.", "Get rid of immigrants.", "Foreigners should be deported.", "He is a stupid man.", "Go screw himself.", "Cave his head in."])
 def test_rules_without_a_second_word(text):
     assert abuse.sentence_scores(text.lower())
+
+
+def test_long_spans_are_read(read):
+    """Spaced-out letters beyond 200 characters, and no more than proportionate time for a very long span."""
+    assert len(text := " ".join("youdisgustinglittleidiot" * 8)) > 250
+    assert "d i s g" not in abuse.restore(text, read)
+    assert len(abuse.restore("a1" * 5_000, read)) > 1_000
