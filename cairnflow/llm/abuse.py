@@ -3,8 +3,9 @@
 A noisy channel: writers replace letters by look-alikes, space them out, repeat or mask
 them. Every doubtful span becomes a lattice of characters; Viterbi search under a
 character language model (4-grams counted over all documents) finds what was meant, and the
-restored text is scored sentence by sentence: words alone decide little, whom they
-are aimed at decides.
+restored text is read sentence by sentence: words alone decide little, whom they are aimed
+at decides. What rules and lists find are the signals of a logistic model that reviewers'
+labels fit around stated prior weights.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ def symbols(text: str) -> np.ndarray:
     return np.frombuffer((" " + fold(text) + " ").encode("ascii", "replace").translate(_TABLE), dtype=np.uint8)
 
 
+#: Signs counted at once.
+_PIECE = 1 << 20
+
+
 def ngram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Counts of all character 4-grams over all documents, dense: at most 28^4 cells whatever the corpus.
 
@@ -44,15 +49,28 @@ def ngram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
+
+        def add(pieces: list[np.ndarray]) -> None:
+            s = np.concatenate(pieces).astype(np.int32)
+            inside = np.ones(len(s), dtype=bool)
+            inside[np.cumsum([len(x) for x in pieces])[:, None] - np.arange(1, ORDER)] = False  # no 4-gram spans two pieces
+            code = ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
+            np.add(total, np.bincount(code[inside[:-3]], minlength=size), out=total)
+
+        held, n = [], 0
         for batch in batches:
             for t in batch.column(0):
                 t = t.as_py()
                 if t:
                     whole = symbols(t)
-                    for at in range(0, len(whole) - 3, 1 << 20):  # bounds the arrays of a very long text; pieces overlap by what a 4-gram needs
-                        s = whole[at : at + (1 << 20) + 3].astype(np.int64)
-                        code = ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
-                        total += np.bincount(code, minlength=size)
+                    for at in range(0, len(whole) - 3, _PIECE):  # a very long text in pieces that overlap by what a 4-gram needs
+                        held.append(whole[at : at + _PIECE + 3])
+                        n += len(held[-1])
+                        if n >= _PIECE:
+                            add(held)
+                            held, n = [], 0
+        if held:
+            add(held)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
@@ -240,8 +258,11 @@ def _fluent(word: str, model: np.ndarray) -> bool:
 # ---------------------------------------------------------------- what restored text says
 
 #: Word lists of the score (fixed values).
-HARD = "asshole arsehole dickhead scumbag moron imbecile motherfucker cunt wanker dumbass douchebag jackass shithead fuckwit whore slut twat faggot retard halfwit cretin".split()
+HARD = "nincompoop lowlife dirtbag sleazebag bellend tosser pillock numbskull dipshit shitbag asswipe skank asshole arsehole dickhead scumbag moron imbecile motherfucker cunt wanker dumbass douchebag jackass shithead fuckwit whore slut twat faggot retard halfwit cretin".split()
 SOFT = "idiot bastard bitch rat pig loser creep clown fool liar crook snake worm dog cow scum trash garbage parasite weasel coward monkey ape hag witch leech swine cockroach animal prick dimwit dunce nobody".split()
+#: Nouns and adjectives that are abuse only where a person is called so to the face.
+MILD = "degenerate buffoon simpleton dullard blockhead bonehead airhead lunatic psycho savage pervert sicko maggot vulture hyena donkey mule goat toad reptile louse mongrel slob hack fraud charlatan scoundrel crone harlot tramp sociopath psychopath thug brute monster disgrace failure embarrassment crook cheat wretch creature".split()
+SHARP = "utter vile wretched repulsive revolting despicable contemptible loathsome vicious deranged demented clueless gutless heartless shameless sleazy sick twisted hideous foul nasty pitiful sorry hopeless witless mindless thick dense senile corrupt crooked backstabbing inbred".split()
 PHRASES = ["son of a bitch", "sons of bitches", "piece of shit", "sack of shit", "piece of crap", "piece of garbage", "waste of oxygen", "waste of space", "waste of skin", "crook and a whore"]
 SLURS = "pathetic disgusting filthy lying stupid useless ugly fat brainless braindead fucking slimy worthless dumb spineless goddamn dirty miserable rotten incompetent bloody moronic idiotic smelly greasy cowardly".split()
 GROUPS = ["women", "woman", "immigrants", "migrants", "foreigners", "asylum seekers", "refugees", "gay people", "gays", "lesbians", "trans people", "disabled people", "old people", "the poor", "poor people", "single mothers", "southerners", "northerners", "easterners", "believers of that faith", "people of that faith", "people of that skin colour", "people of that skin color", "muslims", "jews", "christians", "blacks", "black people", "whites", "asians", "mexicans", "gypsies", "homosexuals", "cripples", "the disabled", "the homeless", "homeless people", "unemployed people"]
@@ -256,6 +277,8 @@ _H, _S, _A = "|".join(HARD), "|".join(SOFT), "|".join(SLURS)
 _P = "|".join(PHRASES)
 _N = rf"(?:{_P}|(?:{_H}|{_S})(?:e?s)?)"
 _ANY = rf"(?:(?:{_A}|little|total|complete|absolute|such|big|old) )*{_N}"
+_TO = rf"(?:(?:{_A}|{'|'.join(SHARP)}|little|total|complete|absolute|big|old) )*"
+_CALLED = rf"(?:{_N}|(?:{'|'.join(MILD)})s?)"
 _G = "|".join(GROUPS)
 #: Weight and pattern; a sentence has the greatest weight among those that match.
 RULES: list[tuple[float, str, str]] = [
@@ -267,11 +290,14 @@ RULES: list[tuple[float, str, str]] = [
     (0.75, "insult", rf"\b(?:listen|hey|sorry|shut up|get lost|go away),? (?:you )?{_ANY}\b"),
     (0.75, "insult", rf"(?:^|[.!?:'\"] ?){_ANY}(?:, (?:learn|go|get|read|shut)|[.!] that is all| that is all)"),
     (0.75, "insult", rf"\b(?:that|this|only an?|such an?|called (?:me|him|her|us|them) an?|what kind of|some kind of|nothing but|after|you call yourself an?) {_ANY}\b"),
+    (0.80, "insult", rf"\bwhat an? {_TO}{_CALLED},? (?:you|he|she) (?:are|is|turned)\b"),
+    (0.80, "insult", rf"\b(?:you|youre|ur),? (?:are )?(?:just |nothing but |such )?(?:a |an )?(?:(?:{_A}|{'|'.join(SHARP)}) )+(?:little |old )?{_CALLED}\b"),
     (0.70, "insult", rf"^{_ANY}[.!]?$"),
     (0.85, "insult", r"\b(?:shut (?:the (?:fuck|hell) )?up,? you|shut the fuck up|go (?:fuck|screw) (?:yourself|yourselves|himself|herself)|(?:screw|fuck) (?:you|off|them all|him|her)\b|kiss my ass|eat shit|suck my|piss off|up yours)"),
     (0.80, "insult", r"\b(?:your mother (?:must|should) (?:be|have)|(?:do|does|did)(?: not|nt|n't) deserve (?:the air|to (?:live|breathe))|air (?:you|they|he|she) breathe|waste of (?:oxygen|space|skin))"),
     (0.85, "threat", r"\b(?:(?:may|hope) (?:you|they|he|she|it|[a-z]+ [a-z]+)(?: all)? (?:rots?|dies?|chokes?|burns?|suffers?|drowns?|gets? (?:cancer|hit|run over))\b|may they all rot|drop dead|never wake up again|kill (?:yourself|yourselves|him|her|you|them all)|hang (?:yourself|yourselves)|should (?:have been|be) (?:drowned|shot|hanged|strangled|burned|gassed|aborted)|drowned at birth|jump off (?:the|a) (?:roof|bridge|building))"),
     (0.85, "threat", r"\b(?:you will (?:bleed|pay with|regret being born|die)|(?:your )?(?:kids|children|family) will watch|know where [a-z .'-]{1,40} lives?|break every bone|burn (?:your|his|her|their|the) (?:house|home|car|office)|with you inside|sleep with one eye open|beat the (?:life|shit|hell) out of|put a bullet (?:in|into|through)|bullet in (?:the|your|his|her)|nobody would miss|if the train did not stop|coming (?:for|to (?:get|beat|kill)) you|cut (?:your|his|her) throat|slit (?:your|his|her)|smash (?:your|his|her) (?:face|skull|head)|(?:kick|beat|cave) (?:your|his|her) (?:face|head|skull|teeth) in)"),
+    (0.85, "threat", r"\b(?:i |we |they )?(?:want|wants|wanted|wish|wishes|wished|would love|would like|hope) (?:to see )?(?:you|him|her|them|your family|your kids)(?: all| both)?(?: to be| were| was| is| are)? (?:dead|six feet under|in a grave|in a coffin|hanged|hung|shot|to die|to bleed|to burn alive)\b"),
     (0.90, "hate", rf"\b(?:{_G})\b[^.!?]{{0,60}}\b(?:subhuman|sub human|vermin|a plague|plague|thieves by blood|parasites|filth|animals|made to serve|belong in (?:the|a)|in a cage|not human|inferior|cockroaches|rats|scum|gassed|exterminated|should be (?:kept out|deported|shot|banned|sterili[sz]ed|locked))"),
     (0.90, "hate", rf"\bsend (?:all )?(?:the )?(?:{_G})\b[^.!?]{{0,30}}\bback\b|\bback to the (?:hole|jungle|swamp)|\bthe hole they crawled"),
     (0.90, "hate", rf"\b(?:never (?:trust|hire)|hate|despise|get rid of|(?:not )?take orders from|what happens when you (?:hire|let in|promote)) (?:{_G})\b"),
@@ -387,8 +413,8 @@ def _finder():
 _find = None
 
 
-def sentence_scores(restored: str) -> list[tuple[float, str]]:
-    """(weight, kind) of the sentences of a restored text that any rule matches.
+def sentence_hits(restored: str) -> list[list[int]]:
+    """The rules that match, for every sentence of a restored text that any rule matches.
 
     A rule is tried on the sentences that hold one of its triggers, with the one after it (an
     insult may stand alone before 'That is all ...'); on the others it can't match.
@@ -415,56 +441,113 @@ def sentence_scores(restored: str) -> list[tuple[float, str]]:
         if follows.lstrip().startswith("that is all"):
             text += " that is all"
         text = _SOBER.sub(" ~ ", text)
-        best = max(((w, kind) for w, kind, p in map(_RULES.__getitem__, near[k]) if p.search(text)), default=None)
-        if best:
-            out.append(best)
+        found = sorted(r for r in near[k] if _RULES[r][2].search(text))
+        if found:
+            out.append(found)
     return out
 
 
-def score_text(text: str | None, read) -> tuple[float, str]:
-    """(score in [0, 1], main kind or ''): 1 - product of (1 - weight) over the sentences that match; NULL and empty texts score 0."""
+# ---------------------------------------------------------------- the model of the score
+
+#: Lists whose words count as signals wherever they stand, each little by itself.
+_LISTS = [re.compile(r"\b(?:" + "|".join(words) + r")(?:e?s)?\b") for words in (HARD, SOFT, SLURS, MILD)]
+SIGNALS = len(RULES) + len(_LISTS)
+#: Log odds of a text without signals, and of what a word of each list adds before any label is seen.
+BASE, LISTED = -4.0, (0.6, 0.2, 0.2, 0.1)
+#: How far labels may move a weight (standard deviation of its prior), the share of labels taken for mistakes, and the labels used at most.
+SPREAD, MISTAKES, LABELS = 0.5, 0.1, 20_000
+
+
+def signals(restored: str) -> np.ndarray:
+    """Per rule and list log2(1 + sentences or words that match): what the model sees of a restored text."""
+    out = np.zeros(SIGNALS, dtype=np.float32)
+    for rules in sentence_hits(restored):
+        out[rules] += 1
+    if out.any():  # a listed word alone never decides
+        for k, words in enumerate(_LISTS):
+            out[len(RULES) + k] = sum(1 for _ in words.finditer(restored))
+    return np.log2(1 + out)
+
+
+def prior_model() -> np.ndarray:
+    """(base, weights): a sentence that one rule matches has the probability that stands beside the rule."""
+    return np.array([BASE, *(math.log(w / (1 - w)) - BASE for w, _, _ in RULES), *LISTED])
+
+
+def probability(model: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(model[0] + x @ model[1:], -30, 30)))
+
+
+def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, spread: float = SPREAD, mistakes: float = MISTAKES) -> np.ndarray:
+    """The most likely model given labels ``y`` of texts with signals ``x``, ``n`` of each, by Fisher scoring.
+
+    Weights start from prior_model() and stay near it where labels are few; labels are taken to be wrong in a share
+    of ``mistakes``, so that reviewers' slips don't flatten the score. No labels give the prior.
+    """
+    prior = prior_model()
+    model, design = prior.copy(), np.concatenate([np.ones((len(x), 1)), x], axis=1)
+    for _ in range(30):
+        s = probability(model, x)
+        p = mistakes + (1 - 2 * mistakes) * s
+        slope = (1 - 2 * mistakes) * s * (1 - s)
+        gradient = design.T @ (n * (y - p) / (p * (1 - p)) * slope) - (model - prior) / spread**2
+        fisher = (design * (n * slope**2 / (p * (1 - p)))[:, None]).T @ design + np.eye(len(model)) / spread**2
+        step = np.linalg.solve(fisher, gradient)
+        model = model + step
+        if np.abs(step).max() < 1e-6:
+            break
+    return model
+
+
+def learn(docs: DataFrame, labels: DataFrame, lm: np.ndarray, item: str = "doc_id", flag: str = "flagged", text: str = "text", most: int = LABELS) -> np.ndarray:
+    """The model fitted to decided labels, at most ``most`` of them, taken by a hash of the document where there are more.
+
+    Equal texts' signals and labels are counted together before they reach the driver.
+    """
+    decided = labels.where(F.col(flag).isNotNull() & F.col(item).isNotNull()).groupBy(item).agg(F.sum(F.when(F.col(flag) > 0, 1).otherwise(0)).alias("yes"), F.count(F.lit(1)).alias("n"))
+    total = decided.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    if total > most:
+        decided = decided.where(F.pmod(F.xxhash64(F.col(item)), F.lit(1_000_003)) < F.lit(int(1_000_003 * most / total)))
+    told = docs.select(item, text).join(decided, item).select("yes", "n", text)
+
+    def read_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = reader(lm)
+        for batch in batches:
+            rows = [signals(restore(t, read)).tolist() if t else [0.0] * SIGNALS for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, type=pa.list_(pa.float32()))], names=["yes", "n", "x"])
+
+    seen = told.mapInArrow(read_all, "yes long, n long, x array<float>").groupBy("x").agg(F.sum("yes").alias("yes"), F.sum("n").alias("n")).toPandas()  # at most ``most`` rows, few distinct
+    if not len(seen):
+        return prior_model()
+    x, yes, n = np.stack(seen["x"]).astype(float), seen["yes"].to_numpy(dtype=float), seen["n"].to_numpy(dtype=float)
+    return fit(np.concatenate([x, x]), np.concatenate([np.ones(len(x)), np.zeros(len(x))]), np.concatenate([yes, n - yes]))
+
+
+def score_text(text: str | None, read, model: np.ndarray | None = None) -> tuple[float, str]:
+    """(score in [0, 1], main kind or ''): the model's probability; NULL and empty texts score 0."""
     if not text:
         return 0.0, ""
-    found = sentence_scores(restore(text, read))
-    if not found:
-        return 0.0, ""
-    return 1.0 - math.prod(1.0 - w for w, _ in found), max(found)[1]
+    x = signals(restore(text, read))
+    model = prior_model() if model is None else model
+    if not x.any():
+        return float(probability(model, x)), ""
+    return float(probability(model, x)), RULES[int(np.argmax(model[1 : 1 + len(RULES)] * x[: len(RULES)]))][1]
 
 
-def score_documents(docs: DataFrame, keep: list[str], model: np.ndarray, text: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, keep: list[str], lm: np.ndarray, model: np.ndarray | None = None, text: str = "text") -> DataFrame:
     """``keep``, score and main kind of every document, whole texts, each by itself."""
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", score double, main_kind string"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = reader(model)
+        read = reader(lm)
         for batch in batches:
-            found = [score_text(t.as_py(), read) for t in batch.column(len(keep))]
+            found = [score_text(t.as_py(), read, model) for t in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array([s for s, _ in found], type=pa.float64()), pa.array([k for _, k in found], type=pa.string())], names=[*keep, "score", "main_kind"])
 
     return docs.select(*keep, text).mapInArrow(score, schema)
 
 
-def calibrate(scored: DataFrame, labels: DataFrame, item: str = "doc_id", flag: str = "flagged") -> tuple[float, float]:
-    """(slope, intercept) of the log-odds of a reviewer's flag on the score, from all decided labels.
-
-    The labels are reduced to counts per hundredth of the score, so the driver sees at most 202 rows; a
-    weak prior keeps the fit finite where labels are few, one-sided or missing.
-    """
-    bins = labels.where(F.col(flag).isNotNull()).join(scored, item).groupBy(F.round(F.col("score"), 2).alias("s"), F.col(flag).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n")).toPandas()
-    x = np.concatenate([bins["s"].to_numpy(dtype=float), [0.0, 1.0]])
-    y = np.concatenate([(bins["y"].to_numpy() > 0).astype(float), [0.0, 1.0]])
-    n = np.concatenate([bins["n"].to_numpy(dtype=float), [1.0, 1.0]])
-    w = np.zeros(2)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
-        g = np.array([((y - p) * n * x).sum(), ((y - p) * n).sum()]) - 0.01 * w
-        h = p * (1 - p) * n
-        hess = np.array([[(h * x * x).sum(), (h * x).sum()], [(h * x).sum(), h.sum()]]) + 0.01 * np.eye(2)
-        w = w + np.linalg.solve(hess, g)
-    return float(w[0]), float(w[1])
-
-
 def source_rates(scored: DataFrame, source: str = "source", threshold: float = 0.5) -> DataFrame:
     """(source, n_documents, n_found, rate, mean_score): NULL sources form one group."""
     return scored.groupBy(source).agg(F.count(F.lit(1)).alias("n_documents"), F.count_if(F.col("score") >= threshold).alias("n_found"), F.avg("score").alias("mean_score")).withColumn("rate", F.col("n_found") / F.col("n_documents"))

@@ -95,6 +95,20 @@ def p8_summary(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("fill", F.col("tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).withColumn("least_containers", F.ceil(F.col("tokens") / F.col("capacity_tokens")))
 
 
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Per spec: documents placed, containers beyond their capacity, documents that lost or gained a token, and documents split although they fit."""
+    sized = _sized(spark, d)
+    out = None
+    for name, capacity in _specs(spark, d):
+        packed = cut(packing.pack(sized, "doc_id", "n_tokens", capacity))
+        over = packing.fills(packed, capacity).agg(F.count_if(F.col("used") > capacity).cast("long").alias("overfull"))
+        docs = packed.groupBy("doc_id").agg(F.sum("length").alias("length"), F.count(F.lit(1)).alias("pieces")).join(sized, "doc_id", "full")
+        told = docs.agg(F.count("length").alias("n_documents"), F.count_if(~F.col("length").eqNullSafe(F.col("n_tokens"))).cast("long").alias("torn"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= capacity)).cast("long").alias("split_needlessly"))
+        one = told.crossJoin(over).withColumn("spec_name", F.lit(name)).withColumn("capacity_tokens", F.lit(capacity).cast("long"))  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- mixture
 
 
@@ -115,13 +129,27 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(cut(chosen), sized, targets, "source", "n_tokens", "doc_id")
 
 
+def p9_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Per target with a supply: documents used beyond the cap, copies missing below one in use, rows of another source, and whether the mix is as large as its supply or all caps are reached."""
+    chosen, sized, targets = _mixture(spark, d)
+    chosen = cut(chosen)
+    used = chosen.groupBy("doc_id", "source").agg(F.count(F.lit(1)).alias("n"), F.max("copy").alias("top"))
+    goal = targets.where(F.col("source").isNotNull() & (F.col("target_share") > 0)).groupBy("source").agg(F.max(F.struct("target_share", "max_repeats")).alias("t")).select("source", F.col("t.max_repeats").alias("max_repeats")).where("max_repeats > 0")
+    held = used.join(sized.select("doc_id", F.col("source").alias("own")), "doc_id").join(goal, "source")
+    told = held.groupBy("source").agg(F.count_if(F.col("n") > F.col("max_repeats")).cast("long").alias("over_cap"), F.count_if(F.col("n") != F.col("top")).cast("long").alias("gaps"), F.count_if(~F.col("own").eqNullSafe(F.col("source"))).cast("long").alias("foreign"))
+    supply = sized.join(goal, "source").groupBy("source", "max_repeats").agg(F.sum("n_tokens").alias("n")).where("n > 0")
+    got = chosen.groupBy("source").agg(F.sum("n_tokens").alias("g"))
+    filled = supply.join(got, "source", "left").agg(((F.sum("g") >= F.sum("n")) | (F.count_if(F.coalesce("g", F.lit(0)) < F.col("n") * F.col("max_repeats")) == 0)).alias("filled"))
+    return told.crossJoin(filled)  # one row
+
+
 # ---------------------------------------------------------------- unfit content
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.col("doc_id").isNotNull())
-    model = abuse.language_model(abuse.ngram_counts(docs), abuse.LEXICON)
-    return abuse.score_documents(docs, ["doc_id", "source"], model)
+    lm = abuse.language_model(abuse.ngram_counts(docs), abuse.LEXICON)
+    return abuse.score_documents(docs, ["doc_id", "source"], lm, abuse.learn(docs, table(spark, d, "review_label"), lm))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -129,15 +157,17 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Every document's score, main kind, and the probability that a reviewer would flag it."""
-    scored = cut(_scored(spark, d))
-    slope, base = abuse.calibrate(scored, table(spark, d, "review_label"))
-    return scored.withColumn("flag_probability", 1 / (1 + F.exp(-(F.lit(slope) * F.col("score") + F.lit(base)))))
+    """Every document's score, main kind, and the probability that a reviewer, who errs at times, would flag it."""
+    return _scored(spark, d).withColumn("flag_probability", F.lit(abuse.MISTAKES) + (1 - 2 * abuse.MISTAKES) * F.col("score"))
 
 
 def p10_source_rates(spark: SparkSession, d: str) -> DataFrame:
     return abuse.source_rates(_scored(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p6_found, p6_groups, p8_containers, p8_fills, p8_summary, p9_mix, p9_shares, p10_found, p10_scores, p10_source_rates)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p6_found, p6_groups, p8_containers, p8_fills, p8_summary, p8_invariants, p9_mix, p9_shares, p9_invariants, p10_found, p10_scores, p10_source_rates)}
+#: Packing and mixing depend on a tokenizer, which SQL lacks; what must hold of any result is checked instead.
+SQL: dict[str, str] = {
+    "p8_invariants": """SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS n_documents, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS split_needlessly, spec_name, CAST(capacity_tokens AS BIGINT) AS capacity_tokens FROM (SELECT DISTINCT spec_name, capacity_tokens FROM container_spec WHERE spec_name IS NOT NULL AND capacity_tokens > 0)""",
+    "p9_invariants": """SELECT source, CAST(0 AS BIGINT) AS over_cap, CAST(0 AS BIGINT) AS gaps, CAST(0 AS BIGINT) AS "foreign", true AS filled FROM (SELECT source, arg_max(max_repeats, (target_share, max_repeats)) AS r FROM mix_target WHERE source IS NOT NULL AND target_share > 0 GROUP BY 1) WHERE r > 0 AND source IN (SELECT source FROM documents WHERE doc_id IS NOT NULL AND text <> '')""",
+}

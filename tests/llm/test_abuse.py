@@ -86,11 +86,38 @@ def test_counts_equal_a_loop(spark):
     assert (got == want).all()
 
 
-def test_calibration_is_finite(spark):
-    scored = spark.createDataFrame([(1, 0.9), (2, 0.1)], "doc_id long, score double")
-    for labels in ([], [(1, 1), (1, 1), (2, 0), (2, None)], [(1, 1)]):
-        slope, base = abuse.calibrate(scored, spark.createDataFrame(labels, "doc_id long, flagged int"))
-        assert np.isfinite([slope, base]).all()
+def test_labels_move_the_weights_and_mistakes_do_not_flatten_them():
+    """Fitted on half of generated labels, a tenth of them wrong, the model is right about the other half; without labels it is the prior."""
+    rnd = np.random.default_rng(3)
+    truth = abuse.prior_model()
+    truth[1] -= 6  # the first rule tells nothing in these texts
+    x = np.log2(1 + (rnd.random((4000, abuse.SIGNALS)) < 0.04)).astype(float)
+    real = rnd.random(4000) < abuse.probability(truth, x)
+    y = np.where(rnd.random(4000) < 0.1, ~real, real).astype(float)
+    half = np.arange(4000) < 2000
+    model = abuse.fit(x[half], y[half], np.ones(half.sum()))
+    right = lambda m: ((abuse.probability(m, x[~half]) >= 0.5) == real[~half]).mean()
+    assert right(model) > right(abuse.prior_model()) and right(model) > 0.93
+    assert model[1] < abuse.prior_model()[1] - 1
+    assert np.allclose(abuse.fit(np.zeros((0, abuse.SIGNALS)), np.zeros(0), np.zeros(0)), abuse.prior_model())
+
+
+def test_learning_takes_any_labels(spark):
+    docs = spark.createDataFrame([(1, FOUL[0]), (2, CLEAN[0]), (3, None), (4, FOUL[1])], "doc_id long, text string")
+    lm = abuse.language_model(abuse.ngram_counts(docs), abuse.LEXICON)
+    for labels in ([], [(1, 1), (1, 1), (2, 0), (2, None), (None, 1), (9, 1), (3, 0)], [(1, 0)] * 50):
+        model = abuse.learn(docs, spark.createDataFrame(labels, "doc_id long, flagged int"), lm)
+        assert np.isfinite(model).all() and len(model) == abuse.SIGNALS + 1
+
+
+@pytest.mark.parametrize("text", ["You utter nincompoop.", "What a vile degenerate you are!", "I want you dead and buried.", "You spineless old fraud, I will remember this.", "We hope to see them hanged."])
+def test_abuse_in_other_words(read, text):
+    assert abuse.score_text(text, read)[0] >= 0.5
+
+
+@pytest.mark.parametrize("text", ["The auditor said it was a fraud.", "Monster Beverage is a monster in its market.", "That was a total failure of controls.", "The fund wants to see them buried in the footnotes.", "You may hack together a thick prototype."])
+def test_milder_words_alone_are_nothing(read, text):
+    assert abuse.score_text(text, read)[0] < 0.5
 
 
 def examples(nodes):
@@ -125,16 +152,16 @@ def test_no_trigger_hides_a_rule(monkeypatch, automaton):
     for _, _, pattern in abuse.RULES:
         for text in examples(re._parser.parse(pattern)):
             clean = re.sub(r"\s+", " ", abuse._SOBER.sub(" ~ ", abuse._CLEAN.sub(" ", text).strip()))
-            want = max(((w, k) for w, k, p in abuse._RULES if p.search(clean)), default=None)
+            want = [i for i, (_, _, p) in enumerate(abuse._RULES) if p.search(clean)]
             if want and len(list(abuse._SENTENCE.finditer(text))) == 1:
                 tried += 1
-                assert want in abuse.sentence_scores(f"the lease ended. {text}"), text
+                assert want in abuse.sentence_hits(f"the lease ended. {text}"), text
     assert tried > 400
 
 
 @pytest.mark.parametrize("text", ["I hope you die.", "I hope she gets cancer.", "You should have been shot.", "You will die for this.", "Immigrants are not human.", "Get rid of immigrants.", "Foreigners should be deported.", "He is a stupid man.", "Go screw himself.", "Cave his head in."])
 def test_rules_without_a_second_word(text):
-    assert abuse.sentence_scores(text.lower())
+    assert abuse.sentence_hits(text.lower())
 
 
 def test_long_spans_are_read(read):
