@@ -67,9 +67,10 @@ def test_recall_and_training(spark, small):
     The trained part is judged by the parts' names alone: how often the nearest entity bears the query's own name.
     """
     links = looked_up(spark, small.replace("sf0.001", "sf0.01"))
-    profiled = linkage.profiles(links, linkage.word_weights(links)).cache()
+    records = links.select("record").distinct().count()
+    profiled = linkage.profiles(links, linkage.word_weights(links, records)).cache()
     random_rows = np.random.default_rng(7).standard_normal((linkage.ROWS, linkage.DIMENSIONS)).astype(np.float32)
-    trained = linkage.train(linkage.walks(links))
+    trained = linkage.train(linkage.walks(links, records))
     right = {}
     names = links.where("attribute LIKE 'own%' OR attribute LIKE 'name%'").groupBy("record").agg(F.array_sort(F.collect_set("word")).alias("w")).toPandas().set_index("record")["w"].map(tuple)
     for kind, vectors in (("untrained", random_rows / np.linalg.norm(random_rows, axis=1, keepdims=True)), ("trained", trained)):
