@@ -57,7 +57,7 @@ def strength_score(signals: Sequence[Column]) -> Column:
 
 
 def manipulation_tier(m: Column) -> Column:
-    return F.when(m.isNull(), "unknown").when(m > -1.78, "high").when(m > -2.22, "medium").otherwise("low")
+    return F.when(m.isNull(), "unknown").when(m > -1.78, "high").when(m >= -2.22, "medium").otherwise("low")
 
 
 def distress_tier(z: Column) -> Column:
@@ -65,17 +65,21 @@ def distress_tier(z: Column) -> Column:
 
 
 def strength_tier(f: Column) -> Column:
-    return F.when(f.isNull(), "unknown").when(f >= 7, "strong").when(f.between(4, 6), "neutral").otherwise("weak")
+    return F.when(f.isNull(), "unknown").when(f >= 7, "strong").when(f.between(3, 6), "neutral").otherwise("weak")
 
 
-def cost_of_capital(beta: Column, equity: Column, debt: Column, interest: Column, tax: Column, risk_free: float = 0.04, premium: float = 0.057, tax_cap: float = 0.40, tax_default: float = 0.21) -> Column:
-    """Struct of the weighted cost of capital and what had to be assumed."""
-    b = F.coalesce(beta, F.lit(1.0))
-    t = F.least(F.greatest(F.coalesce(tax, F.lit(tax_default)), F.lit(0.0)), F.lit(tax_cap))
+def cost_of_capital(cap: Column, debt: Column, beta: Column, interest: Column, tax: Column, pretax: Column, risk_free: Column | None = None, premium: float = 0.057, tax_cap: float = 0.40, tax_default: float = 0.21) -> Column:
+    """struct(wacc, cost_of_equity, cost_of_debt, tax_rate, assumed): NULL without a positive market value.
+
+    Interest counts by its size; without debt its cost is unknown and adds nothing. The tax rate is expense over pretax
+    income where that is positive, at most ``tax_cap``, else the statutory one. ``assumed`` names what was missing.
+    """
+    rate = F.lit(None).cast("double") if risk_free is None else risk_free
     d = F.coalesce(debt, F.lit(0.0))
-    ke = F.lit(risk_free) + b * premium
-    kd = F.coalesce(safe_ratio(interest, F.nullif(d, F.lit(0.0))), F.lit(0.0))
-    whole = equity + d
-    value = F.when(equity > 0, equity / whole * ke + d / whole * kd * (1 - t))
-    assumed = F.array_compact(F.array(F.when(beta.isNull(), "beta"), F.when(tax.isNull(), "tax"), F.when(tax > tax_cap, "tax capped"), F.when(debt.isNull(), "debt")))
-    return F.struct(value.alias("wacc"), ke.alias("cost_of_equity"), assumed.alias("assumed"))
+    ke = F.coalesce(rate, F.lit(0.04)) + F.coalesce(beta, F.lit(1.0)) * premium
+    kd = F.when(debt > 0, F.abs(interest) / debt)
+    known = tax.isNotNull() & (pretax > 0)
+    t = F.when(known, F.least(tax / pretax, F.lit(tax_cap))).otherwise(F.lit(tax_default))
+    value = cap / (cap + d) * ke + F.coalesce(d / (cap + d) * kd * (1 - t), F.lit(0.0))
+    assumed = F.when(cap > 0, F.array_compact(F.array(F.when(beta.isNull(), "beta"), F.when(rate.isNull(), "risk_free_rate"), F.when(~F.coalesce(known, F.lit(False)) & (d > 0), "tax_rate")))).otherwise(F.array(F.lit("market_cap")))
+    return F.struct(*(F.when(cap > 0, v).alias(n) for n, v in (("wacc", F.round(value, 6)), ("cost_of_equity", ke), ("cost_of_debt", kd), ("tax_rate", t))), assumed.alias("assumed"))

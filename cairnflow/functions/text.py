@@ -20,14 +20,23 @@ def scaled_number(c: Column) -> Column:
 
 
 def guided_range(c: Column) -> Column:
-    """struct(low, mid, high) of a number or range; '(' or '-' in front is negative, ends come in order."""
-    text = F.regexp_replace(c, r"[\$,%\s]", "")
-    two = F.regexp_extract(text, r"^\(?(-?\d+(?:\.\d+)?)\)?(?:-|to|–)\(?(-?\d+(?:\.\d+)?)\)?$", 1)
-    a = F.coalesce(F.nullif(two, F.lit("")), F.nullif(F.regexp_extract(text, r"^\(?(-?\d+(?:\.\d+)?)\)?$", 1), F.lit(""))).try_cast("double")
-    b = F.coalesce(F.nullif(F.regexp_extract(text, r"^\(?(-?\d+(?:\.\d+)?)\)?(?:-|to|–)\(?(-?\d+(?:\.\d+)?)\)?$", 2), F.lit("")).try_cast("double"), a)
-    a = F.when(text.startswith("("), -F.abs(a)).otherwise(a)
-    b = F.when(text.rlike(r"(?:-|to|–)\(|^\([^)]*\)$"), -F.abs(b)).otherwise(b)
-    return F.struct(F.least(a, b).alias("low"), ((a + b) / 2).alias("mid"), F.greatest(a, b).alias("high"))
+    """struct(low, mid, high) of a guidance cell: two numbers parted by a dash or 'to' between blanks, or one number anywhere in the text.
+
+    A leading '-' or '($' makes a number negative; brackets alone don't. Ends come in order. 'N/A', 'NA', '-', '--', '' and texts without a digit give NULLs.
+    """
+    text = F.trim(c)
+
+    def number(t: Column) -> Column:
+        digits = F.replace(F.regexp_extract(t, r"-?\$?\s*([\d,]+\.?\d*)", 1), F.lit(","), F.lit(""))
+        value = F.when(~digits.isin("", "."), digits.try_cast("double"))
+        return F.when(F.trim(t).startswith("-") | F.trim(t).startswith("($"), -F.abs(value)).otherwise(value)
+
+    parts = F.split(text, r"\s+(?:-|to|–|—)\s+")
+    two = F.size(parts) == 2
+    a, b = number(F.get(parts, F.lit(0))), number(F.get(parts, F.lit(1)))
+    ranged = two & a.isNotNull() & b.isNotNull()
+    one = F.when(~F.upper(text).isin("", "N/A", "NA", "-", "--"), number(text))
+    return F.struct(F.when(ranged, F.least(a, b)).otherwise(one).alias("low"), F.when(ranged, (a + b) / 2).otherwise(one).alias("mid"), F.when(ranged, F.greatest(a, b)).otherwise(one).alias("high"))
 
 
 def first_label(c: Column, labels: list[tuple[str, str]], default: str | None = None) -> Column:
@@ -39,21 +48,44 @@ def first_label(c: Column, labels: list[tuple[str, str]], default: str | None =
 
 
 def form_family(c: Column) -> Column:
-    """Family of a filing form by its prefix."""
-    f = F.upper(F.trim(c))
+    """Family of a filing form by its prefix; NULL and unknown forms are 'other'."""
     return (
-        F.when(f.isNull() | (f == ""), None).when(f.startswith("10-K"), "annual").when(f.startswith("10-Q"), "quarterly").when(f.startswith("8-K"), "current")
-        .when(f.rlike(r"^(DEF|PRE|PX)"), "proxy").when(f.startswith("13F"), "holdings").when(f.startswith("ADV"), "adviser").when(f.rlike(r"^[345](/A)?$"), "ownership").otherwise("other")
+        F.when(c.startswith("10-K"), "10-K").when(c.startswith("10-Q"), "10-Q").when(c.startswith("8-K"), "8-K")
+        .when(c.isin("3", "3/A", "4", "4/A", "5", "5/A"), "ownership").when(c.startswith("ADV"), "adv").when(c.startswith("DEF 14") | c.startswith("PRE 14"), "proxy").otherwise("other")
     )
 
 
-def security_class(title: Column) -> Column:
-    """Class of a security by the first pattern its title matches."""
-    t = F.upper(F.coalesce(title, F.lit("")))
-    return (
-        F.when(t.rlike(r"\b(PUT|CALL|OPTION|WARRANT|WT)S?\b"), "derivative").when(t.rlike(r"\b(NOTE|BOND|DEB|CONV)\w*"), "debt").when(t.rlike(r"\b(PFD|PREFERRED)\b"), "preferred")
-        .when(t.rlike(r"\b(ETF|FUND|TRUST|SHS BEN INT)\b"), "fund").when(t.rlike(r"\bADR|ADS\b"), "depositary").otherwise("equity")
-    )
+#: Patterns of security titles by class, the first that matches counts (fixed values).
+TITLE_CLASSES = [
+    ("fixed_income", r"(?i)\b(note|notes|bond|bonds|deb|debenture|sr\.?\s+note|senior\s+note)\b"),
+    ("etf_fund", r"(?i)\b(etf|fund|trust|tr\s+unit|trust\s+unit|index\s+fund|spdr|ishare)\b"),
+    ("warrant", r"(?i)\b(wt|warr|warrant|warrants)\b"),
+]
+
+
+def security_class(title: Column, ticker: Column | None = None) -> Column:
+    """equity where a ticker is known, else the class of the first pattern that the title matches, else unknown_security."""
+    out = F.lit("unknown_security")
+    for name, pattern in reversed(TITLE_CLASSES):
+        out = F.when(title.rlike(pattern), name).otherwise(out)
+    return out if ticker is None else F.when(~F.coalesce(F.trim(ticker), F.lit("")).isin("", "nan", "None"), "equity").otherwise(out)
+
+
+#: Metrics of guidance labels, the first whose fragment the label contains (fixed values), and what marks an adjusted one.
+GUIDED = [
+    *((x, "eps_diluted") for x in ("diluted eps", "diluted earnings per share", "eps - diluted", "eps, diluted", "earnings per diluted share")), *((x, "eps_basic") for x in ("basic eps", "basic earnings per share", "eps - basic", "eps, basic", "earnings per basic share")),
+    ("ebitda", "ebitda"), ("ebit", "ebit"), ("free cash flow", "free_cash_flow"), ("fcf", "free_cash_flow"), ("capital expenditure", "capex"), ("capex", "capex"), ("gross profit", "gross_profit"), ("operating margin", "operating_margin"),
+    ("net income", "net_income"), ("net earnings", "net_income"), ("revenue", "revenue"), ("net sales", "revenue"), ("total sales", "revenue"), ("net revenue", "revenue"),
+]
+ADJUSTED = ["non-gaap", "non gaap", "adjusted", "as adjusted"]
+
+
+def guided_metric(label: Column) -> Column:
+    """struct(metric, is_non_gaap, unit) of a guidance label; unknown and missing labels are 'other' in USD."""
+    metric = first_label(F.trim(label), GUIDED, "other")
+    adjusted = F.coalesce(F.lower(label).rlike("|".join(ADJUSTED)), F.lit(False))
+    unit = F.when(metric.isin("eps_diluted", "eps_basic"), "per_share").when(metric == "operating_margin", "percent").otherwise("USD")
+    return F.struct(metric.alias("metric"), adjusted.alias("is_non_gaap"), unit.alias("unit"))
 
 
 def quarter_of(fp: Column) -> Column:
@@ -61,12 +93,11 @@ def quarter_of(fp: Column) -> Column:
     return F.when(F.upper(fp).rlike(r"^Q[1-4]$"), F.substring(fp, 2, 1).cast("int"))
 
 
-def data_state(value: Column, applies: Column | None = None, loaded: Column | None = None) -> Column:
-    """present, empty, unavailable or not_applicable."""
-    applies = F.lit(True) if applies is None else applies
-    loaded = F.lit(True) if loaded is None else loaded
-    text = value.cast("string")
-    return F.when(~applies, "not_applicable").when(~loaded | loaded.isNull(), "unavailable").when(text.isNull() | (F.trim(text) == ""), "empty").otherwise("present")
+def data_state(value: Column, history: Column | None = None, covered: Column | None = None) -> Column:
+    """coverage_unavailable, insufficient_history, value_unavailable, numeric_zero or available, in this order of precedence."""
+    history = F.lit(True) if history is None else history
+    covered = F.lit(True) if covered is None else covered
+    return F.when(~covered, "coverage_unavailable").when(~history, "insufficient_history").when(value.isNull(), "value_unavailable").when(value == 0, "numeric_zero").otherwise("available")
 
 
 def row_hash(*columns: Column) -> Column:
@@ -109,11 +140,27 @@ def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-#: Words that say a company's legal form (fixed values).
-LEGAL_WORDS = ["inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "lp", "llp", "plc", "holdings", "group", "trust"]
+#: Words that names are freed of before they are compared (fixed values).
+LEGAL_WORDS = ["inc", "incorporated", "llc", "corp", "corporation", "lp", "ltd", "limited", "plc", "trust", "fund", "group", "partners", "associates", "co", "na", "holdings", "services"]
+#: Short forms of officers' titles (fixed values).
+TITLES = {
+    "CHIEF EXECUTIVE OFFICER": "CEO", "CEO": "CEO", "CHIEF FINANCIAL OFFICER": "CFO", "CFO": "CFO", "CHIEF OPERATING OFFICER": "COO", "COO": "COO", "CHIEF TECHNOLOGY OFFICER": "CTO", "CTO": "CTO",
+    "CHIEF INVESTMENT OFFICER": "CIO", "CIO": "CIO", "DIRECTOR": "Director", "BOARD DIRECTOR": "Director", "EXECUTIVE VICE PRESIDENT": "EVP",
+}
+
+
+def capitalised(words: Column) -> Column:
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substr(w, F.lit(2))))), " ")
+
+
+def bare_title(c: Column) -> Column:
+    """An officer's title under its short form, else its words with capitals in front; punctuation is a blank."""
+    raw = F.trim(F.regexp_replace(F.regexp_replace(F.upper(c), r"[^\w\s]", " "), r"\s+", " "))
+    known = F.create_map(*(F.lit(x) for kv in TITLES.items() for x in kv))
+    return F.coalesce(F.try_element_at(known, raw), capitalised(F.split(raw, " ")))
 
 
 def bare_name(c: Column) -> Column:
-    """Words of a name without legal forms, in lower case with capitals in front, joined by one blank; NULL if nothing is left."""
-    words = F.filter(F.split(F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^A-Za-z0-9 ]", " ")), r"\s+"), lambda w: (w != "") & ~w.isin(*LEGAL_WORDS))
-    return F.nullif(F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1000))), " "), F.lit(""))
+    """Words of a name without legal forms, with capitals in front, joined by one blank; NULL if nothing is left."""
+    words = F.filter(F.split(F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[^\w\s]", " ")), r"\s+"), lambda w: (w != "") & ~w.isin(*LEGAL_WORDS))
+    return F.nullif(capitalised(words), F.lit(""))

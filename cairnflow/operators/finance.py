@@ -75,11 +75,25 @@ def effective_filings(df: DataFrame, key: Sequence[str], kind: str, filed: str,
     return df.withColumn(kind, checked).withColumn("__base", base).where(F.col("__base").isNull() | (place >= F.col("__base"))).drop("__base")
 
 
-def period_changes(df: DataFrame, holder: Sequence[str], asset: str, period: str, value: str) -> DataFrame:
-    """Adds the change since the holder's last period with the asset, the holder's rank in the asset and period, and whether it is the holder's latest."""
-    w = Window.partitionBy(*holder, asset).orderBy(period)
+def period_changes(df: DataFrame, holder: Sequence[str], asset: str, period: str, shares: str, value: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Adds the change of shares since the holder's last period with the asset, in number and share, the holder's rank by value in the asset and period, and whether the row is the holder's latest of the asset."""
+    w = Window.partitionBy(*holder, asset).orderBy(period, *ties)
+    last = F.lag(shares).over(w)
     return df.withColumns({
-        "change": F.col(value) - F.lag(value).over(w),
+        "change": F.col(shares) - last,
+        "change_pct": F.when(last != 0, (F.col(shares) - last) / last),
         "holder_rank": F.rank().over(Window.partitionBy(asset, period).orderBy(F.coalesce(value, F.lit(0.0)).desc())),
-        "is_latest": F.max(period).over(Window.partitionBy(*holder)) == F.col(period),
+        "is_latest": F.row_number().over(Window.partitionBy(*holder, asset).orderBy(F.desc(period), *(F.desc(t) for t in ties))) == 1,
     })
+
+
+#: Exchanges that a primary ticker is preferably of (fixed values).
+MAJOR_EXCHANGES = ["NASDAQ", "NYSE", "NYSE ARCA", "NYSE MKT", "AMEX", "BATS"]
+
+
+def primary_tickers(df: DataFrame, key: str, ticker: str, exchange: str, order: Sequence[Column], preferred: str | None = None) -> DataFrame:
+    """(key, ticker): of each key the first by ``order`` on the preferred exchange, else on a major one, else of all; upper case."""
+    at = F.coalesce(F.upper(F.trim(exchange)), F.lit(""))
+    place = F.when(at == preferred.strip().upper(), 0).when(at.isin(*MAJOR_EXCHANGES), 1).otherwise(2) if preferred else F.when(at.isin(*MAJOR_EXCHANGES), 1).otherwise(2)
+    rows = df.where(F.col(key).isNotNull() & (F.trim(ticker) != ""))
+    return top_per_group(rows, [key], [place, *order]).select(key, F.upper(F.trim(ticker)).alias(ticker))

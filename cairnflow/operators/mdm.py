@@ -18,22 +18,31 @@ def exact_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return left.where(F.col(key).isNotNull()).join(right, key).select(left_id, right_id, F.lit(1.0).alias("score"), F.lit("auto").alias("decision"))
 
 
-def fuzzy_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_name: str, right_name: str, kind: str = "company", context: tuple[str, str] | None = None) -> DataFrame:
-    """The best Jaro-Winkler match of each left record among right ones whose bare name begins alike.
+def fuzzy_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_name: str, right_name: str, kind: str = "company", context: tuple[str, str] | None = None, rare: int = 2) -> DataFrame:
+    """The best Jaro-Winkler match of each left record among right ones: (left_id, right_id, score, decision).
 
-    Records meet by the first four letters of their first word; a differing context caps the score just below
-    automatic. decision is auto, review or none by the kind's thresholds. Ties go to the least right id.
+    Records meet by the first or the last three letters of any of their ``rare`` rarest words, so a typing error at either end of one hides
+    nothing. With ``context`` a score reaches automatic only if that is known on both sides and equal. decision is auto, review or
+    quarantine by the kind's thresholds; a record that meets none is in quarantine without a right id. Ties go to the least right id.
     """
     auto, review = THRESHOLDS[kind]
-    a = left.select(left_id, bare_name(F.col(left_name)).alias("__a"), *([F.col(context[0]).alias("__ca")] if context else [])).where("__a IS NOT NULL")
-    b = right.select(right_id, bare_name(F.col(right_name)).alias("__b"), *([F.col(context[1]).alias("__cb")] if context else [])).where("__b IS NOT NULL")
-    pairs = a.join(b, F.lower(F.substring("__a", 1, 4)) == F.lower(F.substring("__b", 1, 4)))
-    score = name_similarity(F.col("__a"), F.col("__b"))
-    scored = pairs.withColumn("score", score)
+    a = left.select(F.col(left_id).alias("__l"), bare_name(F.col(left_name)).alias("__a"), *([F.col(context[0]).cast("string").alias("__ca")] if context else [])).where("__a IS NOT NULL").distinct()
+    b = right.select(F.col(right_id).alias("__r"), bare_name(F.col(right_name)).alias("__b"), *([F.col(context[1]).cast("string").alias("__cb")] if context else [])).where("__b IS NOT NULL").distinct()
+    names = a.select(F.col("__a").alias("n")).unionByName(b.select(F.col("__b").alias("n"))).distinct()
+    words = names.select("n", F.explode(F.array_distinct(F.split(F.lower("n"), " "))).alias("w"))
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    told = words.join(counts, "w").groupBy("n").agg(F.slice(F.array_sort(F.collect_list(F.struct("c", "w"))), 1, rare).alias("s"))
+    ends = F.array_distinct(F.flatten(F.transform("s", lambda x: F.array(F.concat(F.lit("<"), F.left(x["w"], F.lit(3))), F.concat(F.right(x["w"], F.lit(3)), F.lit(">"))))))
+    keyed = told.select("n", F.explode(ends).alias("k"))
+    met = keyed.join(a.select(F.col("__a").alias("n")).distinct(), "n", "left_semi").withColumnRenamed("n", "__a").join(keyed.join(b.select(F.col("__b").alias("n")).distinct(), "n", "left_semi").withColumnRenamed("n", "__b"), "k").select("__a", "__b").distinct()
+    scored = met.withColumn("score", name_similarity(F.col("__a"), F.col("__b"))).join(a, "__a").join(b, "__b")
     if context:
-        scored = scored.withColumn("score", F.when(F.col("__ca") != F.col("__cb"), F.least("score", F.lit(auto - 0.01))).otherwise(F.col("score")))
-    best = scored.withColumn("__r", F.row_number().over(Window.partitionBy(left_id).orderBy(F.desc("score"), right_id))).where("__r = 1")
-    return best.select(left_id, right_id, "score", F.when(F.col("score") >= auto, "auto").when(F.col("score") >= review, "review").otherwise("none").alias("decision"))
+        agrees = F.coalesce(F.col("__ca") == F.col("__cb"), F.lit(False))
+        scored = scored.withColumn("score", F.when(agrees, F.col("score")).otherwise(F.least("score", F.lit(auto - 0.01))))
+    best = scored.groupBy("__l").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("__r").alias("r"))).alias("m"))
+    score = -F.col("m.s")
+    decision = F.when(score >= auto, "auto").when(score >= review, "review").otherwise("quarantine")
+    return a.select("__l").distinct().join(best, "__l", "left").select(F.col("__l").alias(left_id), F.col("m.r").alias(right_id), score.alias("score"), decision.alias("decision"))
 
 
 def first_decision(*matches: DataFrame, by: str) -> DataFrame:

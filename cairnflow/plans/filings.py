@@ -54,8 +54,10 @@ def fn_text_keys(spark, d):
     return c.select("parse_sequence", K.normalized_text(F.col("entity_name")).alias("name_key"), K.party_key(F.col("cik"), F.col("entity_name")).alias("party"), K.cik_text(F.col("cik")).alias("cik_text"), K.geography_key(F.col("state_of_incorporation"), F.col("state_of_incorporation_desc")).alias("place")).distinct()
 
 
-@query("""SELECT DISTINCT form, CASE WHEN form IS NULL OR trim(form) = '' THEN NULL WHEN upper(trim(form)) LIKE '10-K%' THEN 'annual' WHEN upper(trim(form)) LIKE '10-Q%' THEN 'quarterly' WHEN upper(trim(form)) LIKE '8-K%' THEN 'current' WHEN regexp_matches(upper(trim(form)), '^(DEF|PRE|PX)') THEN 'proxy'
-WHEN upper(trim(form)) LIKE '13F%' THEN 'holdings' WHEN upper(trim(form)) LIKE 'ADV%' THEN 'adviser' WHEN regexp_matches(upper(trim(form)), '^[345](/A)?$') THEN 'ownership' ELSE 'other' END AS family FROM filing_activity""")
+FAMILY = "CASE WHEN starts_with(form, '10-K') THEN '10-K' WHEN starts_with(form, '10-Q') THEN '10-Q' WHEN starts_with(form, '8-K') THEN '8-K' WHEN form IN ('3', '3/A', '4', '4/A', '5', '5/A') THEN 'ownership' WHEN starts_with(form, 'ADV') THEN 'adv' WHEN starts_with(form, 'DEF 14') OR starts_with(form, 'PRE 14') THEN 'proxy' ELSE 'other' END"
+
+
+@query(f"SELECT DISTINCT form, {FAMILY} AS family FROM filing_activity")
 def fn_form_family(spark, d):
     return table(spark, d, "filing_activity").select("form").distinct().select("form", T.form_family(F.col("form")).alias("family"))
 
@@ -82,21 +84,44 @@ def fn_text_signals(spark, d):
     return t.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(\d+(?:\.\d+)?\s*(?:%|percent\b))"), F.lit(1))).cast("long").alias("n_percentages"), F.col("text").rlike(r"(?i)\bemployees\b").alias("mentions_staff"), F.coalesce(staff, F.lit(0)).alias("staff"))
 
 
-@query("""WITH x(t) AS (VALUES ('1.2 billion'), ('USD 30 million'), ('7'), (NULL), ('none'), ('2,500 thousand')) SELECT t, CASE WHEN regexp_matches(replace(t, ',', ''), '\\d') THEN CAST(regexp_extract(replace(t, ',', ''), '-?\\d+(?:\\.\\d+)?') AS DOUBLE) * CASE WHEN t LIKE '%billion' THEN 1e9 WHEN t LIKE '%million' THEN 1e6 WHEN t LIKE '%thousand' THEN 1e3 ELSE 1 END END AS value FROM x""")
+@query("""WITH p AS (SELECT p_partkey, CAST(p_retailprice AS DECIMAL(12,2)) AS v, p_partkey % 5 AS m FROM part) SELECT p_partkey, CASE m WHEN 0 THEN round(v * 1e9, 0) WHEN 1 THEN round(v * 1e6, 0) WHEN 2 THEN round(v * 1e3, 0) WHEN 3 THEN CAST(v AS DOUBLE) END AS value FROM p""")
 def fn_scaled_number(spark, d):
-    x = spark.createDataFrame([("1.2 billion",), ("USD 30 million",), ("7",), (None,), ("none",), ("2,500 thousand",)], "t string")
-    return x.select("t", T.scaled_number(F.col("t")).alias("value"))
+    """Prices written out with their scale and read back; a text without a number gives NULL."""
+    v = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    m = F.col("p_partkey") % 5
+    text = F.when(m == 0, F.concat(F.lit("USD "), v, F.lit(" billion"))).when(m == 1, F.concat(v, F.lit(" million"))).when(m == 2, F.concat(v, F.lit(" thousand"))).when(m == 3, v).otherwise("none")
+    p = table(spark, d, "part").select("p_partkey", m.alias("m"), T.scaled_number(text).alias("v"))
+    return p.select("p_partkey", F.when(F.col("m") < 3, F.round("v", 0)).otherwise(F.col("v")).alias("value"))
 
 
-@query("""WITH x(t, low, mid, high) AS (VALUES ('1.5-2.5', 1.5, 2.0, 2.5), ('$3.00', 3.0, 3.0, 3.0), ('(1.0)', -1.0, -1.0, -1.0), ('4 to 2', 2.0, 3.0, 4.0), ('none', NULL, NULL, NULL)) SELECT t, CAST(low AS DOUBLE) AS low, CAST(mid AS DOUBLE) AS mid, CAST(high AS DOUBLE) AS high FROM x""")
+@query("""WITH p AS (SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS v, CAST(p_size AS DOUBLE) AS s, p_partkey % 9 AS m FROM part),
+r AS (SELECT p_partkey, m, CASE WHEN m = 8 THEN NULL WHEN m IN (4, 7) THEN -v ELSE v END AS v, s FROM p) SELECT p_partkey, CASE WHEN m IN (0, 1) THEN least(s, v) ELSE v END AS low, CASE WHEN m IN (0, 1) THEN (s + v) / 2 ELSE v END AS mid, CASE WHEN m IN (0, 1) THEN greatest(s, v) ELSE v END AS high FROM r""")
 def fn_guided_range(spark, d):
-    x = spark.createDataFrame([("1.5-2.5",), ("$3.00",), ("(1.0)",), ("4 to 2",), ("none",)], "t string")
-    return x.select("t", T.guided_range(F.col("t")).alias("r")).select("t", "r.low", "r.mid", "r.high")
+    """Prices and sizes written as guidance cells and read back: ranges, points, negatives, brackets that are none, text around, dashes without blanks."""
+    v, s = F.col("p_retailprice").cast("decimal(12,2)").cast("string"), F.col("p_size").cast("string")
+    forms = [F.concat(F.lit("$"), s, F.lit(" - $"), v), F.concat(s, F.lit(" to "), v), F.concat(F.lit("about $ "), v, F.lit(" a share")), F.concat(v, F.lit("-"), s), F.concat(F.lit("-"), v), F.concat(F.lit("("), v, F.lit(")")), F.concat(v, F.lit("%")), F.concat(F.lit("($"), v, F.lit(")")), F.lit("N/A")]
+    text = F.get(F.array(*forms), (F.col("p_partkey") % 9).cast("int"))
+    return table(spark, d, "part").select("p_partkey", T.guided_range(text).alias("r")).select("p_partkey", "r.low", "r.mid", "r.high")
 
 
-@query("""WITH m AS (SELECT entity_id, canonical_name, ticker, primary_ticker, CASE WHEN ticker IS NULL OR trim(ticker) = '' THEN 'empty' ELSE 'present' END AS ticker_state FROM mdm_company) SELECT entity_id, ticker_state FROM m""")
+@query("""SELECT DISTINCT accession_number, holding_index, CASE WHEN cusip IS NULL THEN 'coverage_unavailable' WHEN period_of_report < DATE '2022-01-01' THEN 'insufficient_history' WHEN shares_held IS NULL THEN 'value_unavailable' WHEN shares_held = 0 THEN 'numeric_zero' ELSE 'available' END AS state FROM (SELECT accession_number, holding_index, cusip, period_of_report, CASE WHEN holding_index % 7 = 0 THEN 0 ELSE shares_held END AS shares_held FROM sec_thirteenf_holding)""")
 def fn_data_state(spark, d):
-    return table(spark, d, "mdm_company").select("entity_id", T.data_state(F.col("ticker")).alias("ticker_state"))
+    h = table(spark, d, "sec_thirteenf_holding").withColumn("s", F.when(F.col("holding_index") % 7 == 0, F.lit(0.0)).otherwise(F.col("shares_held")))
+    return h.select("accession_number", "holding_index", T.data_state(F.col("s"), ~F.coalesce(F.col("period_of_report") < F.lit("2022-01-01").cast("date"), F.lit(False)), F.col("cusip").isNotNull()).alias("state")).distinct()
+
+
+@query("""SELECT DISTINCT security_title, CASE WHEN regexp_matches(security_title, '(?i)\\b(note|notes|bond|bonds|deb|debenture|sr\\.?\\s+note|senior\\s+note)\\b') THEN 'fixed_income' WHEN regexp_matches(security_title, '(?i)\\b(etf|fund|trust|tr\\s+unit|trust\\s+unit|index\\s+fund|spdr|ishare)\\b') THEN 'etf_fund' WHEN regexp_matches(security_title, '(?i)\\b(wt|warr|warrant|warrants)\\b') THEN 'warrant' ELSE 'unknown_security' END AS class,
+'equity' AS with_ticker FROM sec_thirteenf_holding""")
+def fn_security_class(spark, d):
+    return table(spark, d, "sec_thirteenf_holding").select("security_title").distinct().select("security_title", T.security_class(F.col("security_title")).alias("class"), T.security_class(F.col("security_title"), F.lit("ABC")).alias("with_ticker"))
+
+
+@query("""WITH l(label, metric, adjusted, unit) AS (VALUES ('Diluted EPS', 'eps_diluted', false, 'per_share'), ('Adjusted EBITDA', 'ebitda', true, 'USD'), ('EPS - basic', 'eps_basic', false, 'per_share'), ('Non-GAAP operating margin', 'operating_margin', true, 'percent'), ('Net sales', 'revenue', false, 'USD'), ('Capital expenditures', 'capex', false, 'USD'), ('As adjusted FCF', 'free_cash_flow', true, 'USD'), ('EBIT before EBITDA', 'ebitda', false, 'USD'), ('Store openings', 'other', false, 'USD'), ('', 'other', false, 'USD'), (NULL, 'other', false, 'USD'))
+SELECT p_partkey, l.* FROM part JOIN (SELECT *, row_number() OVER () - 1 AS i FROM l) l ON p_partkey % 11 = i""".replace("l.* FROM", "label, metric, adjusted, unit FROM"))
+def fn_guided_metric(spark, d):
+    labels = ["Diluted EPS", "Adjusted EBITDA", "EPS - basic", "Non-GAAP operating margin", "Net sales", "Capital expenditures", "As adjusted FCF", "EBIT before EBITDA", "Store openings", "", None]
+    label = F.get(F.array(*(F.lit(x) for x in labels)), (F.col("p_partkey") % 11).cast("int"))
+    return table(spark, d, "part").select("p_partkey", label.alias("label"), T.guided_metric(label).alias("m")).select("p_partkey", "label", "m.metric", F.col("m.is_non_gaap").alias("adjusted"), "m.unit")
 
 
 @query("SELECT CAST(day AS DATE) AS day, year(day) * 10000 + month(day) * 100 + day(day) AS date_key, year(day) AS year, quarter(day) AS quarter, month(day) AS month, day(day) AS day_of_month, isodow(day) - 1 AS day_of_week, isodow(day) >= 6 AS is_weekend FROM range(DATE '2023-01-01', DATE '2024-01-01', INTERVAL 1 DAY) t(day)")
@@ -133,27 +158,6 @@ def ups_last_wins(spark, d):
     return merge.collapse(c, merge.MergeSpec(("cik",)), "parse_sequence")
 
 
-def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Customers as a target and a changed batch: even keys are updated, keys above 1000 are new to the target."""
-    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    return c.where("c_custkey <= 1000"), c.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
-
-
-@query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer WHERE c_custkey <= 1000 OR c_custkey % 2 = 0")
-def ups_merge(spark, d):
-    return merge.merge_matched(*_halves(spark, d), ["c_custkey"])
-
-
-@query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer WHERE c_custkey <= 1000 OR c_custkey % 2 = 0")
-def ups_upsert(spark, d):
-    return merge.upsert(*_halves(spark, d), ["c_custkey"])
-
-
-@query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey > 1000 THEN 1 ELSE 0 END AS c_acctbal FROM customer WHERE c_custkey <= 1000 OR c_custkey % 2 = 0")
-def ups_seed(spark, d):
-    return merge.upsert(*_halves(spark, d), ["c_custkey"], insert_only=True)
-
-
 def _whole(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """All customers as a target, and a batch of the even keys changed and of the odd ones under new, negative keys."""
     c = table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
@@ -162,17 +166,17 @@ def _whole(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer UNION ALL SELECT -c_custkey, c_mktsegment, c_acctbal + 1 FROM customer WHERE c_custkey % 2 = 1")
-def ups_merge_whole(spark, d):
+def ups_merge(spark, d):
     return merge.merge_matched(*_whole(spark, d), ["c_custkey"])
 
 
 @query("SELECT c_custkey, c_mktsegment, c_acctbal + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS c_acctbal FROM customer UNION ALL SELECT -c_custkey, c_mktsegment, c_acctbal + 1 FROM customer WHERE c_custkey % 2 = 1")
-def ups_upsert_whole(spark, d):
+def ups_upsert(spark, d):
     return merge.upsert(*_whole(spark, d), ["c_custkey"])
 
 
 @query("SELECT c_custkey, c_mktsegment, c_acctbal FROM customer UNION ALL SELECT -c_custkey, c_mktsegment, c_acctbal + 1 FROM customer WHERE c_custkey % 2 = 1")
-def ups_seed_whole(spark, d):
+def ups_seed(spark, d):
     return merge.upsert(*_whole(spark, d), ["c_custkey"], insert_only=True)
 
 
@@ -245,10 +249,12 @@ def dm_forensic_scores(spark, d):
     return _scores(spark, d).select("k", "y", F.round("m", 7).alias("m"), F.round("z", 5).alias("z"), "f")
 
 
-@query("WITH x(m, z, f) AS (VALUES (-1.0, 1.0, 8), (-2.0, 2.5, 5), (-3.0, 3.5, 1), (NULL, NULL, NULL), (-1.78, 2.99, 7)) SELECT CAST(m AS DOUBLE) AS m, CASE WHEN m IS NULL THEN 'unknown' WHEN m > -1.78 THEN 'high' WHEN m > -2.22 THEN 'medium' ELSE 'low' END AS mt, CASE WHEN z IS NULL THEN 'unknown' WHEN z < 1.81 THEN 'distress' WHEN z <= 2.99 THEN 'grey' ELSE 'safe' END AS zt, CASE WHEN f IS NULL THEN 'unknown' WHEN f >= 7 THEN 'strong' WHEN f BETWEEN 4 AND 6 THEN 'neutral' ELSE 'weak' END AS ft FROM x")
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE round(-1.5 - l_tax * 12, 2) END AS m, CASE WHEN l_linenumber = 7 THEN NULL ELSE round(1 + l_discount * 25, 2) END AS z, CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS INT) % 10 END AS f FROM lineitem)
+SELECT DISTINCT m, z, f, CASE WHEN m > -1.78 THEN 'high' WHEN m BETWEEN -2.22 AND -1.78 THEN 'medium' WHEN m < -2.22 THEN 'low' ELSE 'unknown' END AS mt, CASE WHEN z > 2.99 THEN 'safe' WHEN z BETWEEN 1.81 AND 2.99 THEN 'grey' WHEN z < 1.81 THEN 'distress' ELSE 'unknown' END AS zt, CASE WHEN f >= 7 THEN 'strong' WHEN f BETWEEN 3 AND 6 THEN 'neutral' WHEN f <= 2 THEN 'weak' ELSE 'unknown' END AS ft FROM x""")
 def dm_tiers(spark, d):
-    x = spark.createDataFrame([(-1.0, 1.0, 8), (-2.0, 2.5, 5), (-3.0, 3.5, 1), (None, None, None), (-1.78, 2.99, 7)], "m double, z double, f int")
-    return x.select("m", fin.manipulation_tier(F.col("m")).alias("mt"), fin.distress_tier(F.col("z")).alias("zt"), fin.strength_tier(F.col("f")).alias("ft"))
+    known = F.col("l_linenumber") != 7
+    x = table(spark, d, "lineitem").select(F.when(known, F.round(-1.5 - F.col("l_tax") * 12, 2)).alias("m"), F.when(known, F.round(1 + F.col("l_discount") * 25, 2)).alias("z"), F.when(known, F.col("l_quantity").cast("int") % 10).alias("f")).distinct()
+    return x.select("m", "z", "f", fin.manipulation_tier(F.col("m")).alias("mt"), fin.distress_tier(F.col("z")).alias("zt"), fin.strength_tier(F.col("f")).alias("ft"))
 
 
 @query("""SELECT user_id, event_id, coalesce(event_type <> lag(event_type) OVER w, false) AS changed, CAST(sum(CASE WHEN coalesce(event_type <> lg, false) THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS unchanged_so_far FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS lg FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY event_id)""")
@@ -268,12 +274,18 @@ def dm_effective_filings(spark, d):
     return fo.effective_filings(o, ["k", "p"], "kind", "f", "a").select("k", "p", "a", "kind")
 
 
-@query("""WITH h AS (SELECT cik, cusip, period_of_report, sum(CAST(shares_held AS DECIMAL(28,4)))::DOUBLE AS shares FROM (SELECT DISTINCT cik, accession_number, holding_index, cusip, period_of_report, shares_held FROM sec_thirteenf_holding WHERE cusip IS NOT NULL AND cik IS NOT NULL) GROUP BY 1, 2, 3)
-SELECT cik, cusip, period_of_report, shares - lag(shares) OVER (PARTITION BY cik, cusip ORDER BY period_of_report) AS change, rank() OVER (PARTITION BY cusip, period_of_report ORDER BY coalesce(shares, 0) DESC) AS holder_rank, max(period_of_report) OVER (PARTITION BY cik) = period_of_report AS is_latest FROM h""")
+_HELD = """SELECT cik, cusip, period_of_report, sum(CAST(shares_held AS DECIMAL(28,4)))::DOUBLE AS shares, sum(CAST(market_value AS DECIMAL(28,4)))::DOUBLE AS value FROM (SELECT DISTINCT cik, accession_number, holding_index, cusip, period_of_report, shares_held, market_value FROM sec_thirteenf_holding WHERE cusip IS NOT NULL AND cik IS NOT NULL) GROUP BY 1, 2, 3"""
+
+
+def _held(spark: SparkSession, d: str) -> DataFrame:
+    h = table(spark, d, "sec_thirteenf_holding").where("cusip IS NOT NULL AND cik IS NOT NULL").select("cik", "accession_number", "holding_index", "cusip", "period_of_report", "shares_held", "market_value").distinct()
+    return h.groupBy("cik", "cusip", "period_of_report").agg(F.sum(F.col("shares_held").cast("decimal(28,4)")).cast("double").alias("shares"), F.sum(F.col("market_value").cast("decimal(28,4)")).cast("double").alias("value"))
+
+
+@query(f"""WITH h AS ({_HELD}), l AS (SELECT *, lag(shares) OVER w AS was FROM h WINDOW w AS (PARTITION BY cik, cusip ORDER BY period_of_report))
+SELECT cik, cusip, period_of_report, shares - was AS change, CASE WHEN was <> 0 THEN (shares - was) / was END AS change_pct, rank() OVER (PARTITION BY cusip, period_of_report ORDER BY coalesce(value, 0) DESC) AS holder_rank, row_number() OVER (PARTITION BY cik, cusip ORDER BY period_of_report DESC) = 1 AS is_latest FROM l""")
 def dm_holding_changes(spark, d):
-    h = table(spark, d, "sec_thirteenf_holding").where("cusip IS NOT NULL AND cik IS NOT NULL").select("cik", "accession_number", "holding_index", "cusip", "period_of_report", "shares_held").distinct()
-    h = h.groupBy("cik", "cusip", "period_of_report").agg(F.sum(F.col("shares_held").cast("decimal(28,4)")).cast("double").alias("shares"))
-    return fo.period_changes(h, ["cik"], "cusip", "period_of_report", "shares").select("cik", "cusip", "period_of_report", "change", "holder_rank", "is_latest")
+    return fo.period_changes(_held(spark, d), ["cik"], "cusip", "period_of_report", "shares", "value").select("cik", "cusip", "period_of_report", "change", "change_pct", "holder_rank", "is_latest")
 
 
 @query("""WITH l AS (SELECT * FROM (SELECT DISTINCT crd_number, accession_number, effective_date, filing_action, row_number() OVER (PARTITION BY crd_number ORDER BY effective_date DESC NULLS LAST, accession_number DESC) AS r FROM (SELECT DISTINCT crd_number, accession_number, effective_date, filing_action FROM sec_adv_filing)) WHERE r = 1)
@@ -291,17 +303,27 @@ def dm_holding_snapshot(spark, d):
     return R.top_per_group(t, ["party_key", "security_key"], [F.desc_nulls_last("date_key"), F.desc("fact_key")]).select("party_key", "security_key", "shares_owned_after")
 
 
-@query("""WITH x(beta, equity, debt, interest, tax) AS (VALUES (1.2, 100.0, 50.0, 2.0, 0.25), (NULL, 100.0, NULL, NULL, NULL), (0.8, -5.0, 10.0, 1.0, 0.9), (1.0, 10.0, 10.0, 1.0, 0.9)) SELECT CAST(equity AS DOUBLE) AS equity, round(CASE WHEN equity > 0 THEN equity / (equity + coalesce(debt, 0)) * (0.04 + coalesce(beta, 1.0) * 0.057) + coalesce(debt, 0) / (equity + coalesce(debt, 0)) * CASE WHEN debt <> 0 THEN coalesce(interest / debt, 0) ELSE 0 END * (1 - least(coalesce(tax, 0.21), 0.40)) END, 9) AS wacc FROM x""")
+_WACC_INPUT = "SELECT o_orderkey, o_totalprice * (o_orderkey % 11 - 1) AS cap, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE (o_orderkey % 4) * 50000.0 END AS debt, CASE WHEN o_orderkey % 3 > 0 THEN 0.5 + (o_orderkey % 7) / 5.0 END AS beta, CASE WHEN o_orderkey % 7 > 0 THEN -1000.0 * (o_orderkey % 9) END AS interest, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice * (o_orderkey % 6) / 10 END AS tax, o_totalprice * (o_orderkey % 5 - 1) AS pretax FROM orders"
+
+
+@query(f"""WITH x AS ({_WACC_INPUT}), y AS (SELECT *, coalesce(debt, 0) AS d, CASE WHEN debt > 0 THEN abs(interest) / debt END AS kd, tax IS NOT NULL AND pretax > 0 AS known FROM x) SELECT o_orderkey, CASE WHEN cap > 0 THEN round(cap / (cap + d) * (0.04 + coalesce(beta, 1.0) * 0.057) + coalesce(d / (cap + d) * kd * (1 - CASE WHEN known THEN least(tax / pretax, 0.40) ELSE 0.21 END), 0), 6) END AS wacc,
+CASE WHEN cap > 0 THEN concat_ws(',', CASE WHEN beta IS NULL THEN 'beta' END, 'risk_free_rate', CASE WHEN NOT coalesce(known, false) AND debt > 0 THEN 'tax_rate' END) ELSE 'market_cap' END AS assumed FROM y""")
 def dm_wacc(spark, d):
-    x = spark.createDataFrame([(1.2, 100.0, 50.0, 2.0, 0.25), (None, 100.0, None, None, None), (0.8, -5.0, 10.0, 1.0, 0.9), (1.0, 10.0, 10.0, 1.0, 0.9)], "beta double, equity double, debt double, interest double, tax double")
-    w = fin.cost_of_capital(*(F.col(c) for c in ("beta", "equity", "debt", "interest", "tax")))
-    return x.select("equity", F.round(w["wacc"], 9).alias("wacc"))
+    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    x = table(spark, d, "orders").select("o_orderkey", (price * (k % 11 - 1)).alias("cap"), F.when(k % 5 != 0, (k % 4) * 50000.0).alias("debt"), F.when(k % 3 > 0, 0.5 + (k % 7) / 5.0).alias("beta"), F.when(k % 7 > 0, -1000.0 * (k % 9)).alias("interest"), F.when(k % 2 == 0, price * (k % 6) / 10).alias("tax"), (price * (k % 5 - 1)).alias("pretax"))
+    w = x.withColumn("w", fin.cost_of_capital(*(F.col(c) for c in ("cap", "debt", "beta", "interest", "tax", "pretax"))))
+    return w.select("o_orderkey", "w.wacc", F.array_join("w.assumed", ",").alias("assumed"))
 
 
-@query("""SELECT cik, ticker FROM (SELECT cik, ticker, row_number() OVER (PARTITION BY cik ORDER BY CASE primary_exchange WHEN 'NYSE' THEN 0 WHEN 'Nasdaq' THEN 1 ELSE 2 END, ticker) AS r FROM mdm_company WHERE cik IS NOT NULL AND ticker IS NOT NULL) WHERE r = 1""")
+@query("SELECT o_orderkey, CASE WHEN cap > 0 THEN cap + coalesce(debt, 0) - coalesce(interest, 0) END AS ev FROM (" + _WACC_INPUT + ")")
+def dm_enterprise_value(spark, d):
+    k, price = F.col("o_orderkey"), F.col("o_totalprice")
+    return table(spark, d, "orders").select("o_orderkey", fin.enterprise_value(price * (k % 11 - 1), F.when(k % 5 != 0, (k % 4) * 50000.0), F.when(k % 7 > 0, -1000.0 * (k % 9))).alias("ev"))
+
+
+@query("""SELECT cik, upper(trim(ticker)) AS ticker FROM (SELECT cik, ticker, row_number() OVER (PARTITION BY cik ORDER BY CASE WHEN upper(trim(primary_exchange)) = 'NYSE' THEN 0 WHEN upper(trim(primary_exchange)) IN ('NASDAQ', 'NYSE', 'NYSE ARCA', 'NYSE MKT', 'AMEX', 'BATS') THEN 1 ELSE 2 END, ticker, entity_id) AS r FROM mdm_company WHERE cik IS NOT NULL AND trim(ticker) <> '') WHERE r = 1""")
 def dm_primary_ticker(spark, d):
-    order = F.when(F.col("primary_exchange") == "NYSE", 0).when(F.col("primary_exchange") == "Nasdaq", 1).otherwise(2)
-    return R.top_per_group(table(spark, d, "mdm_company").where("cik IS NOT NULL AND ticker IS NOT NULL").select("cik", "ticker", "primary_exchange"), ["cik"], [order, F.col("ticker")]).select("cik", "ticker")
+    return fo.primary_tickers(table(spark, d, "mdm_company"), "cik", "ticker", "primary_exchange", [F.col("ticker"), F.col("entity_id")], "nyse")
 
 
 @query("""SELECT m.entity_id, s.cik, s.n AS n_syncs, count(*) OVER (PARTITION BY m.cik) > 1 AS several FROM mdm_company m LEFT JOIN (SELECT cik, count(*) AS n FROM sec_company GROUP BY 1) s ON m.cik = s.cik""")
@@ -325,12 +347,20 @@ def md_exact(spark, d):
     return mdm.exact_matches(table(spark, d, "mdm_company").select("entity_id", "cik"), s, "entity_id", "scik", "cik")
 
 
-@query("""WITH w AS (SELECT p_partkey, p_name, array_to_string(list_transform(list_filter(string_split_regex(lower(regexp_replace(p_name, '[^A-Za-z0-9 ]', ' ', 'g')), '\\s+'), lambda x: x <> '' AND x NOT IN ('inc','incorporated','corp','corporation','co','company','ltd','limited','llc','lp','llp','plc','holdings','group','trust')), lambda x: upper(x[1]) || x[2:]), ' ') AS n FROM part),
-a AS (SELECT * FROM w WHERE p_partkey % 2 = 0 AND n <> ''), b AS (SELECT * FROM w WHERE p_partkey % 2 = 1 AND n <> ''), s AS (SELECT a.p_partkey AS l, b.p_partkey AS r, jaro_winkler_similarity(a.n, b.n) AS score FROM a JOIN b ON lower(a.n[1:4]) = lower(b.n[1:4])), m AS (SELECT l, max(round(score, 9)) AS score FROM s GROUP BY 1) SELECT l, score, CASE WHEN score >= 0.95 THEN 'auto' WHEN score >= 0.85 THEN 'review' ELSE 'none' END AS decision FROM m""")
+_BARE = "nullif(array_to_string(list_transform(list_filter(string_split_regex(lower(regexp_replace({}, '[^\\w\\s]', ' ', 'g')), '\\s+'), lambda x: x <> '' AND NOT list_contains(['inc','incorporated','llc','corp','corporation','lp','ltd','limited','plc','trust','fund','group','partners','associates','co','na','holdings','services'], x)), lambda x: upper(x[1]) || x[2:]), ' '), '')"
+
+
+@query(f"""WITH a AS (SELECT DISTINCT entity_id, state_of_incorporation AS s, {_BARE.format("canonical_name")} AS n FROM mdm_company WHERE canonical_name IS NOT NULL), b AS (SELECT DISTINCT crd_number, {_BARE.format("adviser_name")} AS n FROM sec_adv_filing WHERE adviser_name IS NOT NULL AND crd_number IS NOT NULL),
+s AS (SELECT entity_id, crd_number, jaro_winkler_similarity(a.n, b.n) AS score FROM a JOIN b ON a.n IS NOT NULL AND b.n IS NOT NULL), t AS (SELECT * FROM s WHERE score >= 0.95) SELECT entity_id, arg_min(crd_number, (-score, crd_number)) AS crd_number, round(max(score), 9) AS score FROM t GROUP BY 1""")
 def md_fuzzy(spark, d):
-    p = table(spark, d, "part").select("p_partkey", "p_name")
-    m = mdm.fuzzy_matches(p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("l"), F.col("p_name").alias("ln")), p.where("p_partkey % 2 = 1").select(F.col("p_partkey").alias("r"), F.col("p_name").alias("rn")), "l", "r", "ln", "rn")
-    return m.select("l", F.round("score", 9).alias("score"), "decision")
+    """Entities whose name matches an adviser's by itself; against all pairs."""
+    m = mdm.fuzzy_matches(table(spark, d, "mdm_company"), table(spark, d, "sec_adv_filing").where("crd_number IS NOT NULL"), "entity_id", "crd_number", "canonical_name", "adviser_name")
+    return m.where("decision = 'auto'").select("entity_id", "crd_number", F.round("score", 9).alias("score"))
+
+
+@query("SELECT DISTINCT coalesce(entity_name, '') AS entity_name, " + _BARE.format("entity_name") + " AS bare FROM sec_company")
+def fn_bare_name(spark, d):
+    return table(spark, d, "sec_company").select(F.coalesce("entity_name", F.lit("")).alias("entity_name"), T.bare_name(F.col("entity_name")).alias("bare")).distinct()
 
 
 @query("""WITH s AS (SELECT user_id AS entity_id, event_type AS field, CAST(value AS VARCHAR) AS value, event_id, ts FROM events) SELECT entity_id, arg_min(value, event_id) FILTER (WHERE field = 'signup') AS signup, arg_max(value, event_id) FILTER (WHERE field = 'purchase') AS purchase FROM s GROUP BY 1""")
@@ -395,20 +425,6 @@ def gr_generations(spark, d):
     return table(spark, d, "mdm_graph_nodes").groupBy("nodeid").agg(F.countDistinct("generation_id").alias("generations"), F.max("updated_at").alias("last_updated"))
 
 
-@query()
-def rl_settled_versions(spark, d):
-    r = table(spark, d, "mdm_relationship_instance").withColumn("priority", F.when(F.col("date_provenance") == "filing", 1).when(F.col("date_provenance") == "derived", 2).otherwise(3))
-    s = graph.settle_versions(r, "relationship_id", "valid_from_date", "valid_to_date", "priority", ["instance_id"], ["properties"])
-    return s.select("instance_id", "relationship_id", "state")
-
-
-@query("""WITH f AS (SELECT DISTINCT company_key, cik FROM filing_activity WHERE cik IS NOT NULL), o AS (SELECT DISTINCT company_key, party_key FROM ownership_activity WHERE party_key IS NOT NULL) SELECT o.party_key, m.entity_id FROM o JOIN f ON o.company_key = f.company_key JOIN mdm_company m ON m.cik = f.cik GROUP BY 1, 2""")
-def rl_insiders(spark, d):
-    f = table(spark, d, "filing_activity").where("cik IS NOT NULL").select("company_key", "cik").distinct()
-    o = table(spark, d, "ownership_activity").where("party_key IS NOT NULL").select("company_key", "party_key").distinct()
-    return o.join(f, "company_key").join(table(spark, d, "mdm_company").select("entity_id", "cik"), "cik").select("party_key", "entity_id").distinct()
-
-
 # ---------------------------------------------------------------- serving
 
 
@@ -493,10 +509,22 @@ def dq_field_drift(spark, d):
     return quality.field_drift(a, b, "cik", ["sic", "ein"], ["ein"])
 
 
-@query("SELECT count(*) AS left_rows, count(*) AS right_rows, true AS same FROM orders")
+_ACTIVE_EDGES = "mdm_graph_edges WHERE generation_id IN (SELECT active_generation_id FROM graph_active_pointer)"
+
+
+@query(f"""WITH a AS (SELECT instance_id AS k, source_entity_id AS s, target_entity_id AS t FROM mdm_relationship_instance), b AS (SELECT edgeid AS k, sourcenodeid AS s, targetnodeid AS t FROM {_ACTIVE_EDGES}), c AS (SELECT (SELECT count(*) FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a))) AS n)
+SELECT 'relationships' AS compared, (SELECT count(*) FROM a) AS left_rows, (SELECT count(*) FROM b) AS right_rows, n = 0 AS same FROM c UNION ALL SELECT 'orders', count(*), count(*), true FROM orders UNION ALL SELECT 'orders with a changed row', count(*), count(*), false FROM orders""")
 def dq_digest(spark, d):
-    o = table(spark, d, "orders")
-    return quality.same_tables(o, o.orderBy(F.desc("o_totalprice")), ["o_orderkey", "o_custkey", "o_orderpriority"]).select("left_rows", "right_rows", "same")
+    """Relationships against their graph copy, orders against themselves in another order, and against a copy that differs in one cell."""
+    p = table(spark, d, "graph_active_pointer").select(F.col("active_generation_id").alias("generation_id"))
+    a = table(spark, d, "mdm_relationship_instance").select(F.col("instance_id").alias("k"), F.col("source_entity_id").alias("s"), F.col("target_entity_id").alias("t"))
+    b = table(spark, d, "mdm_graph_edges").join(F.broadcast(p), "generation_id", "left_semi").select(F.col("edgeid").alias("k"), F.col("sourcenodeid").alias("s"), F.col("targetnodeid").alias("t"))  # one row
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    first = o.agg(F.min("o_orderkey").alias("m"))
+    changed = o.crossJoin(F.broadcast(first)).withColumn("o_custkey", F.when(F.col("o_orderkey") == F.col("m"), F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))).drop("m")  # one row
+    out = [(n, quality.same_tables(x, y, x.columns)) for n, x, y in (("relationships", a, b), ("orders", o, o.orderBy(F.desc("o_custkey"))), ("orders with a changed row", o, changed))]
+    named = [t.select(F.lit(n).alias("compared"), "left_rows", "right_rows", "same") for n, t in out]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @query("""SELECT entity_type, generation_id, mdm_active_count - lag(mdm_active_count) OVER w AS row_delta, status IS DISTINCT FROM lag(status) OVER w AS changed FROM graph_review_entity_parity WINDOW w AS (PARTITION BY entity_type ORDER BY published_at)""")
@@ -526,11 +554,14 @@ def src_keyed_facts(spark, d):
     return readers.keyed_facts(p, "payload")
 
 
-@query("SELECT 'CUST' AS form, c_name AS company, c_custkey AS cik, DATE '2023-01-31' AS filed, 'data/' || c_custkey || '.txt' AS file_name, sha256('CUST    ' || c_name || '   ' || c_custkey || '  20230131  data/' || c_custkey || '.txt') AS record_hash FROM customer")
+@query("""SELECT row_number() OVER (ORDER BY c_custkey) AS row_ordinal, '10-K' AS form, c_name AS company, c_custkey + 100000 AS cik, DATE '2023-01-31' AS filed, f AS file_name, CASE WHEN c_custkey % 2 = 0 THEN a ELSE f END AS accession_number, 'https://www.sec.gov/Archives/' || f AS filing_txt_url, sha256('10-K|' || c_name || '|' || (c_custkey + 100000) || '|2023-01-31|' || f) AS record_hash
+FROM (SELECT *, lpad(CAST(c_custkey AS VARCHAR), 10, '0') || '-23-000001' AS a, 'edgar/data/' || (c_custkey + 100000) || '/' || CASE WHEN c_custkey % 2 = 0 THEN lpad(CAST(c_custkey AS VARCHAR), 10, '0') || '-23-000001.txt' ELSE 'other.txt' END AS f FROM customer)""")
 def src_fixed_width(spark, d):
-    c = table(spark, d, "customer")
-    line = F.concat(F.lit("CUST    "), "c_name", F.lit("   "), F.col("c_custkey").cast("string"), F.lit("  20230131  data/"), F.col("c_custkey").cast("string"), F.lit(".txt"))
-    return readers.fixed_width_index(c.select(line.alias("value")))
+    c = table(spark, d, "customer").withColumn("cik", (F.col("c_custkey") + 100000).cast("string"))
+    name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lpad(F.col("c_custkey").cast("string"), 10, "0"), F.lit("-23-000001.txt"))).otherwise("other.txt")
+    line = F.concat(F.lit("10-K    "), "c_name", F.lit("   "), "cik", F.lit("  20230131  edgar/data/"), "cik", F.lit("/"), name)
+    lines = c.select(F.col("c_custkey").alias("at"), line.alias("value")).unionByName(spark.createDataFrame([(-1, "Form Type   Company Name   CIK   Date Filed   File Name"), (-2, "----")], "at long, value string"))
+    return readers.fixed_width_index(lines, "value", "at")
 
 
 @query("SELECT CAST(s_suppkey AS BIGINT) AS id, 1 AS owner_index, CAST(s_nationkey AS VARCHAR) AS owner_cik, s_name AS owner_name FROM supplier")
@@ -551,18 +582,19 @@ def src_shards(spark, d):
     return readers.union_shards([c.where("k % 2 = 0").drop("balance"), c.where("k % 2 = 1").drop("segment"), c.select(F.lit(1).alias("other"))], ["k", "segment", "balance"])
 
 
-@query("SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation UNION ALL SELECT 'region', count(*) FROM region")
+@query("SELECT 'filing_activity' AS table_name, count(*) AS n_rows FROM filing_activity UNION ALL SELECT 'orders', count(*) FROM orders")
 def snk_landing(spark, d):
     """Tables written with their manifest; the empty one is skipped."""
-    tables = {n: table(spark, d, n) for n in ("nation", "region")} | {"nothing": table(spark, d, "region").where("false")}
+    tables = {n: table(spark, d, n) for n in ("filing_activity", "orders")} | {"nothing": table(spark, d, "orders").where("false")}
     return writers.write_landing(tables, _scratch(spark), "run-1").select("table_name", "n_rows")
 
 
-@query("SELECT r_regionkey, r_name FROM region")
+@query("SELECT o_orderkey, o_totalprice FROM orders")
 def snk_published(spark, d):
-    folder = _scratch(spark)
-    writers.publish(table(spark, d, "region").where("r_regionkey > 2"), folder, "g1")
-    writers.publish(table(spark, d, "region"), folder, "g2")
+    """Two generations of a table; readers get the second one."""
+    folder, o = _scratch(spark), table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    writers.publish(o.where("o_orderkey % 2 = 0"), folder, "g1")
+    writers.publish(o, folder, "g2")
     return writers.published(spark, folder)
 
 

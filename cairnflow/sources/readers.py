@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,12 +27,25 @@ def keyed_facts(df: DataFrame, payload: str, keep: Sequence[str] = ()) -> DataFr
     return facts.select(*keep, "concept", "unit", F.coalesce("f.start", F.lit("0001-01-01").cast("date")).alias("period_start"), F.col("f.end").alias("period_end"), F.col("f.val").alias("value"), F.col("f.fy").alias("fiscal_year"), F.col("f.fp").alias("fiscal_period"), F.col("f.accn").alias("accession_number")).where(F.col("fiscal_period").isNull() | F.col("fiscal_period").isin("FY", "Q1", "Q2", "Q3", "Q4"))
 
 
-def fixed_width_index(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Rows of a daily index text: form, company, cik, filed date, file name, and the line's hash; other lines are left out."""
-    pattern = r"^(\S.*?)\s{2,}(.+?)\s{2,}(\d+)\s+(\d{8}|\d{4}-\d{2}-\d{2})\s+(\S+)\s*$"
+def fixed_width_index(lines: DataFrame, line: str = "value", order: str | None = None) -> DataFrame:
+    """Rows of a daily index text: row_ordinal, form, company, cik, filing date, file name, accession number, URL and the hash of the fields.
+
+    Lines without 'edgar/data/' or of another shape are left out; a date that is none leaves out the row but takes an ordinal. ``order`` is the
+    column of the line's place in the file; without it there is no ordinal. Ordinals are made by ranges of the place, not in one task.
+    """
+    pattern = r"^(\S[\S ]*?)\s{2,}(.+?)\s{2,}(\d{4,10})\s+(\d{8}|\d{4}-\d{2}-\d{2})\s+(edgar/data/\S+)"
     part = lambda i: F.regexp_extract(line, pattern, i)
-    rows = lines.where(F.col(line).rlike(pattern))
-    return rows.select(part(1).alias("form"), part(2).alias("company"), part(3).cast("long").alias("cik"), F.coalesce(F.try_to_date(part(4), "yyyyMMdd"), F.try_to_date(part(4))).alias("filed"), part(5).alias("file_name"), F.sha2(F.trim(line), 256).alias("record_hash"))
+    rows = lines.where(F.col(line).contains("edgar/data/") & F.col(line).rlike(pattern))
+    if order:
+        rows = rows.withColumn("__range", F.floor(F.col(order) / 100_000))
+        rows = rows.withColumn("__in", F.row_number().over(Window.partitionBy("__range").orderBy(order)))
+        sizes = rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+        before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")  # one row per 100,000 lines
+        rows = rows.join(before, "__range").withColumn("row_ordinal", F.col("__before") + F.col("__in"))
+    filed = F.coalesce(F.try_to_date(part(4), "yyyyMMdd"), F.try_to_date(part(4)))
+    accession = F.regexp_extract(part(5), r"^edgar/data/\d+/(\d{10}-\d{2}-\d{6})(?:-index\.[^/]+|\.txt)$", 1)
+    named = rows.select(*(["row_ordinal"] if order else []), F.trim(part(1)).alias("form"), F.trim(part(2)).alias("company"), part(3).cast("long").alias("cik"), filed.alias("filed"), part(5).alias("file_name"), F.when(accession != "", accession).otherwise(part(5)).alias("accession_number"), F.concat(F.lit("https://www.sec.gov/Archives/"), part(5)).alias("filing_txt_url"))
+    return named.where("filed IS NOT NULL").withColumn("record_hash", F.sha2(F.concat_ws("|", "form", "company", F.col("cik").cast("string"), F.col("filed").cast("string"), "file_name"), 256))
 
 
 def ticker_rows(df: DataFrame, payload: str) -> DataFrame:

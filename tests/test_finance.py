@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cairnflow.functions import finance as fin
 from cairnflow.operators import finance as fo
-from cairnflow.operators import graph, mdm
+from cairnflow.operators import graph, mdm, relations
 
 
 def one(spark, expression, **values):
@@ -72,5 +72,5 @@ def test_graph_cycles_and_chains(spark):
 def test_versions_settle(spark):
     rows = [("r", "2020-01-01", "2021-01-01", 1, "a", "x"), ("r", "2020-06-01", None, 2, "b", "y"), ("q", "2020-01-01", None, 1, "c", "x"), ("q", "2020-01-01", None, 1, "d", "x"), ("q", "2020-02-01", None, 1, "e", "z")]
     df = spark.createDataFrame(rows, "k string, f string, t string, p int, i string, ev string").withColumns({"f": F.to_date("f"), "t": F.to_date("t")})
-    got = {r.i: r.state for r in graph.settle_versions(df, "k", "f", "t", "p", ["i"], ["ev"]).collect()}
+    got = {r.i: r.state for r in relations.settle_versions(df, "k", "f", "t", "p", ["i"], ["ev"]).collect()}
     assert got == {"a": "current", "b": "superseded", "c": "quarantined", "d": "duplicate", "e": "quarantined"}
