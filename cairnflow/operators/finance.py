@@ -25,12 +25,75 @@ def pick_concepts(facts: DataFrame, group: Sequence[str], concept: str, value: s
 
 
 def derived_metrics(df: DataFrame) -> DataFrame:
-    """Adds ebitda, debt, free_cash_flow, margins and returns; rows without any headline value are left out."""
+    """Adds ebitda, total_debt, free_cash_flow, margins and returns to picked concepts; rows without any headline value are left out.
+
+    ebitda and free cash flow need both of their parts, debt either; roic is over equity and debt, both known.
+    """
     c = F.col
     debt = F.when(c("long_debt").isNotNull() | c("short_debt").isNotNull(), F.coalesce("long_debt", F.lit(0.0)) + F.coalesce("short_debt", F.lit(0.0)))
-    out = df.withColumns({"ebitda": c("ebit") + c("depreciation"), "debt": debt, "free_cash_flow": c("operating_cash") - F.abs("capex")})
-    out = out.withColumns({"net_margin": fin.safe_ratio(c("net_income"), c("revenue")), "roa": fin.safe_ratio(c("net_income"), c("assets")), "roe": fin.safe_ratio_signed(c("net_income"), c("equity")), "roic": fin.safe_ratio(c("ebit"), c("equity") + c("debt"))})
-    return out.where(F.coalesce("revenue", "net_income", "assets", "equity", "operating_cash").isNotNull())
+    out = df.withColumns({"ebitda": c("ebit") + c("depreciation"), "total_debt": debt, "free_cash_flow": c("operating_cash") - F.abs("capex")})
+    ratios = {"gross_margin": ("gross_profit", "revenue"), "ebitda_margin": ("ebitda", "revenue"), "net_margin": ("net_income", "revenue"), "roa": ("net_income", "assets"), "roe": ("net_income", "equity")}
+    out = out.withColumns({name: fin.safe_ratio(c(n), c(d)) for name, (n, d) in ratios.items()} | {"roic": fin.safe_ratio(c("ebit"), c("equity") + c("total_debt"))})
+    return out.where(F.coalesce("revenue", "gross_profit", "ebitda", "net_income", "assets").isNotNull())
+
+
+#: Ratios of the factor pack: name, numerator, denominator (fixed values); numerators may be differences.
+FACTORS = [
+    ("working_capital_to_assets", "current_assets - current_liabilities", "assets"), ("current_ratio", "current_assets", "current_liabilities"), ("quick_ratio", "current_assets - inventory", "current_liabilities"),
+    ("receivables_to_revenue", "receivables", "revenue"), ("inventory_to_assets", "inventory", "assets"), ("sga_to_revenue", "sga", "revenue"), ("retained_earnings_to_assets", "retained", "assets"), ("asset_turnover", "revenue", "assets"),
+    ("debt_to_assets", "total_debt", "assets"), ("cash_to_assets", "cash", "assets"), ("free_cash_flow_to_revenue", "free_cash_flow", "revenue"), ("accruals_to_assets", "net_income - operating_cash", "assets"),
+    ("gross_margin", "gross_profit", "revenue"), ("operating_margin", "ebit", "revenue"), ("net_margin", "net_income", "revenue"), ("return_on_assets", "net_income", "assets"),
+]
+
+
+def with_current(df: DataFrame, key: str = "cik", accession: str = "accession_number", period: str = "fiscal_period", end: str = "period_end") -> DataFrame:
+    """Adds is_current_period: the row is of the latest period that its filing reports."""
+    return df.withColumn("is_current_period", F.col(end) == F.max(end).over(Window.partitionBy(key, accession, period)))
+
+
+def factor_pack(df: DataFrame, key: str = "cik", year: str = "fiscal_year", period: str = "fiscal_period", accession: str = "accession_number") -> DataFrame:
+    """Adds to derived metrics the ratios of FACTORS, return on positive equity, and for whole years the growth of assets and shares and the 3 and 5 year growth rates.
+
+    Earlier years come from one row each: the filing's own current period first, then the greatest accession; a missing year gives NULL.
+    """
+    base = with_current(df, key, accession, period)
+    past = ["assets", "shares", "revenue", "net_income"]
+    years = canonical_year(base.where(F.col(period) == "FY"), key, year, "is_current_period", accession).select(key, year, *past)
+    out = base
+    for n in (1, 3, 5):
+        out = out.join(years.select(key, (F.col(year) + n).alias(year), *(F.col(c).alias(f"__{c}_{n}") for c in past)), [key, year], "left")
+    full = F.col(period) == "FY"
+    then = lambda c, n: F.col(f"__{c}_{n}")
+    made = {name: fin.safe_ratio(F.expr(n), F.col(d)) for name, n, d in FACTORS} | {"return_on_equity": fin.safe_ratio_signed(F.col("net_income"), F.col("equity"))}
+    made |= {"asset_growth_yoy": F.when(full, fin.growth(F.col("assets"), then("assets", 1))), "shares_yoy_change": F.when(full, F.col("shares") - then("shares", 1))}
+    made |= {f"{c}_cagr_{n}y": F.when(full, fin.cagr(F.col(c), then(c, n), n)) for c in ("revenue", "net_income", "assets") for n in (3, 5)}
+    return out.withColumns(made).drop(*(f"__{c}_{n}" for c in past for n in (1, 3, 5)))
+
+
+def forensic_scores(df: DataFrame, key: str = "cik", year: str = "fiscal_year", digits: int = 4) -> DataFrame:
+    """(key, year, m, z, f): the three scores of whole years, one row per key and year, against the row before it whatever the gap.
+
+    The first year has no m; signals that need the year before don't count in its f.
+    """
+    b = with_previous(df, key, year)
+    c, p = F.col, lambda n: F.col(f"prev.{n}")
+    r = fin.safe_ratio
+    both = lambda f: (f(c), f(p))
+    quality = lambda g: 1 - r(g("current_assets") + g("ppe"), g("assets"))
+    wear = lambda g: r(g("depreciation"), g("depreciation") + g("ppe"))
+    margin = lambda g: r(g("gross_profit"), g("revenue"))
+    part = lambda n, d: lambda g: r(g(n), g(d))
+    now_before = {"dsri": part("receivables", "revenue"), "aqi": quality, "sgai": part("sga", "revenue"), "lvgi": part("total_debt", "assets")}
+    terms = {k: r(*both(f)) for k, f in now_before.items()} | {"gmi": r(margin(p), margin(c)), "depi": r(wear(p), wear(c)), "sgi": r(c("revenue"), p("revenue")), "tata": r(c("net_income") - c("operating_cash"), c("assets"))}
+    m = F.when(c("prev").isNotNull(), fin.manipulation_score(terms, digits))
+    z = fin.distress_score(c("current_assets") - c("current_liabilities"), c("retained"), c("ebit"), c("equity"), c("revenue"), c("assets"), c("liabilities"), digits)
+    less = lambda f: F.when(F.coalesce(c("assets"), F.lit(0.0)) != 0, f(c) < f(p))
+    more = lambda f: f(c) > f(p)
+    signals = [
+        r(c("net_income"), c("assets")) > 0, c("operating_cash") > 0, more(part("net_income", "assets")), c("operating_cash") > c("net_income"), less(part("total_debt", "assets")), more(part("current_assets", "current_liabilities")),
+        c("shares") <= p("shares"), more(part("gross_profit", "revenue")), more(part("revenue", "assets")),
+    ]
+    return b.select(key, year, m.alias("m"), z.alias("z"), fin.strength_score(signals).alias("f"))
 
 
 def growth_pack(df: DataFrame, key: str, year: str, values: Sequence[str], spans: Sequence[int] = (3, 5)) -> DataFrame:
@@ -97,3 +160,13 @@ def primary_tickers(df: DataFrame, key: str, ticker: str, exchange: str, order:
     place = F.when(at == preferred.strip().upper(), 0).when(at.isin(*MAJOR_EXCHANGES), 1).otherwise(2) if preferred else F.when(at.isin(*MAJOR_EXCHANGES), 1).otherwise(2)
     rows = df.where(F.col(key).isNotNull() & (F.trim(ticker) != ""))
     return top_per_group(rows, [key], [place, *order]).select(key, F.upper(F.trim(ticker)).alias(ticker))
+
+
+def compensation(df: DataFrame, key: str, filing: str, name: str, role: str, year: str, total: str) -> DataFrame:
+    """Adds comp_rank within the filing by total pay (unknown counts as 0), comp_change against the person's filing before, and whether the row is the role's latest."""
+    was = F.lag(total).over(Window.partitionBy(key, name).orderBy(year))
+    return df.withColumns({
+        "comp_rank": F.rank().over(Window.partitionBy(key, filing).orderBy(F.coalesce(total, F.lit(0.0)).desc())),
+        "comp_change": F.when(was != 0, (F.col(total) - was) / was),
+        "is_current_role": F.row_number().over(Window.partitionBy(key, role).orderBy(F.desc(year))) == 1,
+    })

@@ -228,27 +228,6 @@ def dm_ratios(spark, d):
     return b.select("k", "y", F.round(fin.safe_ratio(c("net_income"), c("assets")), 9).alias("roa"), F.round(fin.safe_ratio_signed(c("net_income"), c("liabilities")), 9).alias("roe"), F.round(fin.safe_ratio(c("net_income"), c("revenue")), 9).alias("margin"))
 
 
-_PREV = f"WITH s AS ({_STATE}), b AS (SELECT *, lag(revenue) OVER w AS pr, lag(assets) OVER w AS pa, lag(liabilities) OVER w AS pl, lag(net_income) OVER w AS pn, lag(y) OVER w AS py FROM s WINDOW w AS (PARTITION BY k ORDER BY y))"
-
-
-def _scores(spark: SparkSession, d: str) -> DataFrame:
-    b = fo.with_previous(statements(spark, d), "k", "y")
-    c, p = F.col, lambda n: F.col(f"prev.{n}")
-    none = F.lit(None).cast("double")
-    terms = {"sgi": fin.safe_ratio(c("revenue"), p("revenue")), "lvgi": fin.safe_ratio(c("liabilities") / c("assets"), p("liabilities") / p("assets")), "gmi": fin.safe_ratio(p("net_income") / p("revenue"), c("net_income") / c("revenue")), "dsri": none, "aqi": none, "depi": none, "sgai": none, "tata": none}
-    m = fin.manipulation_score(terms, 12)
-    z = fin.distress_score(c("assets") - c("liabilities"), none, c("net_income"), c("assets") - c("liabilities"), c("revenue"), c("assets"), c("liabilities"), 12)
-    f = fin.strength_score([c("net_income") > 0, c("net_income") / c("assets") > p("net_income") / p("assets"), c("liabilities") / c("assets") < p("liabilities") / p("assets"), c("revenue") > p("revenue")])
-    return b.select("k", "y", m.alias("m"), z.alias("z"), f.alias("f"))
-
-
-@query(f"""{_PREV}, t AS (SELECT k, y, py, CASE WHEN pr <> 0 THEN revenue / pr END AS sgi, CASE WHEN pl / pa <> 0 THEN (liabilities / assets) / (pl / pa) END AS lvgi, CASE WHEN net_income / revenue <> 0 THEN (pn / pr) / (net_income / revenue) END AS gmi, revenue, assets, liabilities, net_income, pr, pa, pl, pn FROM b)
-SELECT k, y, round(CASE WHEN py IS NOT NULL THEN round(-4.84 + coalesce(0.528 * gmi, 0) + coalesce(0.892 * sgi, 0) + coalesce(-0.327 * lvgi, 0), 12) END, 7) AS m, round(round(1.2 * (assets - liabilities) / assets + 3.3 * net_income / assets + coalesce(0.6 * (assets - liabilities) / CASE WHEN liabilities <> 0 THEN liabilities END, 0) + revenue / assets, 12), 5) AS z,
-(net_income > 0)::INT + coalesce((net_income / assets > pn / pa)::INT, 0) + coalesce((liabilities / assets < pl / pa)::INT, 0) + coalesce((revenue > pr)::INT, 0) AS f FROM t""")
-def dm_forensic_scores(spark, d):
-    return _scores(spark, d).select("k", "y", F.round("m", 7).alias("m"), F.round("z", 5).alias("z"), "f")
-
-
 @query("""WITH x AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN NULL ELSE round(-1.5 - l_tax * 12, 2) END AS m, CASE WHEN l_linenumber = 7 THEN NULL ELSE round(1 + l_discount * 25, 2) END AS z, CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS INT) % 10 END AS f FROM lineitem)
 SELECT DISTINCT m, z, f, CASE WHEN m > -1.78 THEN 'high' WHEN m BETWEEN -2.22 AND -1.78 THEN 'medium' WHEN m < -2.22 THEN 'low' ELSE 'unknown' END AS mt, CASE WHEN z > 2.99 THEN 'safe' WHEN z BETWEEN 1.81 AND 2.99 THEN 'grey' WHEN z < 1.81 THEN 'distress' ELSE 'unknown' END AS zt, CASE WHEN f >= 7 THEN 'strong' WHEN f BETWEEN 3 AND 6 THEN 'neutral' WHEN f <= 2 THEN 'weak' ELSE 'unknown' END AS ft FROM x""")
 def dm_tiers(spark, d):
