@@ -430,16 +430,6 @@ def sv_manager_bundle(spark, d):
     return f.agg(F.array_join(F.array_sort(F.collect_set("private_fund_id")), ",").alias("funds"), F.countDistinct("private_fund_id").alias("n_funds"), F.max("aum_amount").cast("double").alias("top_aum"))
 
 
-@query()
-def sv_issuer_bundle(spark, d):
-    """Nested payload per company: filings, insiders and relationships, each a sorted array, with coverage flags."""
-    m = table(spark, d, "mdm_company").where("cik IS NOT NULL").select("entity_id", "cik", "canonical_name")
-    forms = table(spark, d, "filing_activity").where("cik IS NOT NULL").groupBy("cik", "form").agg(F.count(F.lit(1)).alias("n"), F.max("filing_date").alias("last")).groupBy("cik").agg(F.array_sort(F.collect_list(F.struct("form", "n", "last"))).alias("filings"))
-    rel = table(spark, d, "mdm_relationship_instance").where("is_active AND NOT quarantined").groupBy(F.col("target_entity_id").alias("entity_id"), "rel_type_name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("source_entity_id").alias("sources")).groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct("rel_type_name", "n", "sources"))).alias("relationships"))
-    j = m.join(forms, "cik", "left").join(rel, "entity_id", "left")
-    return j.select("entity_id", "cik", "canonical_name", "filings", "relationships", F.when(F.col("filings").isNull(), "empty").otherwise("present").alias("filings_state"), F.when(F.col("relationships").isNull(), "empty").otherwise("present").alias("relationships_state"))
-
-
 @query("""SELECT DISTINCT m.entity_id, m.canonical_name, m.ticker FROM mdm_company m WHERE m.canonical_name ILIKE '%harbor%' OR m.ticker ILIKE '%ha%' ORDER BY canonical_name, entity_id LIMIT 40""")
 def sv_subject_search(spark, d):
     m = table(spark, d, "mdm_company").where(F.col("canonical_name").ilike("%harbor%") | F.col("ticker").ilike("%ha%"))
