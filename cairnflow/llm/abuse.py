@@ -202,11 +202,35 @@ _NUMERIC = re.compile(r"[(\"'$]*[0-9][0-9.,:/-]*(?:m|mm|k|b|bn|x|st|nd|rd|th|s|q
 _EDGE = ".,;:!?\"'()[]"
 
 
+_TOKEN = re.compile(r"\S+")
+_APART = re.compile(r"(?<![a-z0-9])[a-z][ ._*~|-][a-z0-9@$!][ ._*~|-][a-z0-9@$!](?![a-z0-9])")
+
+
+@lru_cache(maxsize=100_000)
+def _doubtful(token: str) -> bool:
+    return _DOUBT.search(token) is not None
+
+
+def doubts(text: str) -> Iterator[re.Match]:
+    """Matches of _DOUBT, one at least in every stretch that has any: looked for in words that hold one and where letters stand apart, for most words are known to be plain.
+
+    A match may end at its word's end, for whoever reads a span takes what stands apart behind it along.
+    """
+    odd = {t for t in set(text.split()) if _doubtful(t)}
+    places = [m.span() for m in _TOKEN.finditer(text) if m[0] in odd] if odd else []
+    done = 0
+    for at, end in sorted([*places, *(m.span() for m in _APART.finditer(text))]):
+        m = _DOUBT.search(text, max(at, done), end + 1) if end > done else None
+        if m:
+            yield m
+            done = m.end()
+
+
 def restore(text: str, read) -> str:
     """The folded text with every doubtful span replaced by what ``read`` makes of it."""
     text = fold(text)
     out, done = [], 0
-    for m in _DOUBT.finditer(text):
+    for m in doubts(text):
         if m.start() < done:
             continue
         i, j = m.start(), m.end()
@@ -318,7 +342,8 @@ LEXICON = tuple(HARD + SOFT + PHRASES + SLURS + GROUPS + "fuck fucking fucked sc
 _RULES = [(w, kind, re.compile(p)) for w, kind, p in RULES]
 _SOBER = re.compile("|".join(SOBER))
 _SENTENCE = re.compile(r"[^.!?\n]+(?:[.!?](?=\S)[^.!?\n]*)*[.!?\n'\"]*\s*")
-_CLEAN = re.compile(r"[^a-z0-9.,!?:;'\" -]+")
+_CLEAN = re.compile(r"[^a-z0-9.,!?:;'\"\n -]+")
+_BLANKS = re.compile(r"  +")
 
 
 #: More spellings than these are not written out one by one.
@@ -351,6 +376,10 @@ def _spellings(nodes) -> set[str] | None:
     return out
 
 
+#: Words so common that a pattern is rather known by another of its words.
+_COMMON = set("the a an that this these those would will may what where after since they them some such only never should until your you her his him she he it and or of to in on for with not are is was be because back took office orders hard hand who which because before when".split())
+
+
 def _needed(nodes) -> set[str]:
     """Runs of letters of which every match of a parsed pattern has one; {''} where there are none such.
 
@@ -371,8 +400,9 @@ def _needed(nodes) -> set[str]:
             found.append(set().union(*map(_needed, arg[1])))
         elif one is None and op is _C.MAX_REPEAT and arg[0]:
             found.append(_needed(arg[2]))
-    letters = [{max(re.findall("[a-z]+", x), key=len, default="") for x in texts} for texts in [*found, run]]
-    return max(letters, key=lambda texts: (min(map(len, texts)), -len(texts)))
+    telling = lambda x: max(reversed(re.findall("[a-z]+", x)), key=lambda w: (w not in _COMMON, len(w)), default="")
+    letters = [{telling(x) for x in texts} for texts in [*found, run]]
+    return max(letters, key=lambda texts: ("" not in texts, -len(texts & _COMMON), min(map(len, texts)), -len(texts)))
 
 
 def _triggers() -> tuple[dict[str, list[int]], list[int]]:
@@ -422,11 +452,12 @@ def sentence_hits(restored: str) -> list[list[int]]:
     global _find
     if _find is None:
         _find = _finder()
-    hits = _find(restored)
+    whole = _BLANKS.sub(" ", _CLEAN.sub(" ", restored.replace("_", " ")))
+    hits = _find(whole)
     if not hits and not _FREE:
         return []
     out = []
-    spans = [m.span() for m in _SENTENCE.finditer(restored)]
+    spans = [m.span() for m in _SENTENCE.finditer(whole)]
     ends = np.array([e for _, e in spans])
     near: dict[int, set[int]] = {k: set(_FREE) for k in range(len(spans))} if _FREE else {}
     for k, (_, rules) in zip(np.searchsorted(ends, [at for at, _ in hits], side="right").tolist(), hits):
@@ -435,9 +466,8 @@ def sentence_hits(restored: str) -> list[list[int]]:
         if k >= len(spans):
             continue
         i, j = spans[k]
-        follows = restored[spans[k + 1][0] : spans[k + 1][0] + 20] if k + 1 < len(spans) else ""
-        text = _CLEAN.sub(" ", restored[i:j].replace("_", " ")).strip()
-        text = re.sub(r"\s+", " ", text)
+        follows = whole[spans[k + 1][0] : spans[k + 1][0] + 20] if k + 1 < len(spans) else ""
+        text = " ".join(whole[i:j].split())
         if follows.lstrip().startswith("that is all"):
             text += " that is all"
         text = _SOBER.sub(" ~ ", text)
