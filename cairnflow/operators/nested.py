@@ -1,8 +1,9 @@
 """Nested records to flat tables.
 
 A pull parser reads each JSON text once, keeping only its stack, and emits
-path-value-ordinal triples. Triples are grouped by their repeated ancestor, and each
-group is pivoted into one table that keeps its parent's key and position.
+path-value-ordinal triples. The paths that repeat are found in the data; triples are grouped
+by their nearest repeated ancestor, and each group is pivoted into one table that keeps its
+parent's key and position.
 """
 
 from __future__ import annotations
@@ -10,10 +11,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnflow.session import cut
+
 _TOKEN = re.compile(r'[ \t\n\r]*(?:([{}\[\],:])|"((?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*)"|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)|(true|false|null))')
 _END = re.compile(r"[ \t\n\r]*\Z")
 _ESCAPE = re.compile(r"\\(u[0-9a-fA-F]{4}|.)")
@@ -98,24 +102,25 @@ def triples(text: str | None) -> list[Triple] | None:
     return triples(out[0][3]) if len(out) == 1 and out[0][2] == "string" else out
 
 
-Cell = tuple[str, int, int, int, str, str, "str | None"]
+#: Parts a path's keys from one another.
+STEP = "\x1f"
+#: Distinct paths that may repeat; a schema has few, and more would mean that keys are data.
+MOST_PATHS = 10_000
+
+Cell = tuple[str, list[int], str, "str | None"]
 
 
-def grouped(nodes: Sequence[Triple], levels: Mapping[str, Sequence[str]], optional: frozenset[str]) -> list[Cell]:
-    """(table, idx1, idx2, idx3, field, kind, value) of the nodes at or below a repeated ancestor.
+def cells(nodes: Sequence[Triple], optional: frozenset[str]) -> list[Cell]:
+    """(path, ordinals, kind, value) of the nodes of a record, a path without the keys in ``optional``.
 
-    ``levels`` maps a table to the keys of its repeated ancestors, outermost first. A key in
-    ``optional`` merely wraps: it adds no step, and its ordinal counts for the key before it.
-    An ancestor that is no array's element is its single element. The node of a row itself
-    has the field ''. An object that holds a wrapper is no row.
+    Such a key merely wraps: it adds no step, and its ordinal counts for the key before it; an object
+    that holds a wrapper is no node. Arrays are no nodes either, only their elements are.
     """
     wrappers = set()
     for path, ordinals, _, _ in nodes:
         for i, k in enumerate(path):
             if k in optional:
                 wrappers.add((path[:i], ordinals[: i + 1]))
-    by_path = {tuple(keys): name for name, keys in levels.items()}
-    deepest = max(map(len, by_path), default=0)
     out: list[Cell] = []
     for path, ordinals, kind, value in nodes:
         if kind == "array" or (path, ordinals) in wrappers or (path and path[-1] not in optional and kind != "object" and (path[:-1], ordinals[:-1]) in wrappers):
@@ -128,65 +133,112 @@ def grouped(nodes: Sequence[Triple], levels: Mapping[str, Sequence[str]], option
                 at.append(o)
             elif at:
                 at[-1] = max(at[-1], o)
-        for depth in range(min(len(keys), deepest), 0, -1):
-            name = by_path.get(tuple(keys[:depth]))
-            if name:
-                idx = [max(o, 1) for o in at[:depth]] + [0] * (3 - depth)
-                out.append((name, idx[0], idx[1], idx[2], ".".join(keys[depth:]), kind, value))
-                break
+        if keys:
+            out.append((STEP.join(keys), at, kind, value))
     return out
 
 
-_CELL = pa.struct([("child_table", pa.string()), ("idx1", pa.int32()), ("idx2", pa.int32()), ("idx3", pa.int32()), ("field", pa.string()), ("kind", pa.string()), ("value", pa.string())])
-_CELLS = "array<struct<child_table: string, idx1: int, idx2: int, idx3: int, field: string, kind: string, value: string>>"
+_CELLS = "array<struct<path: string, at: array<int>, kind: string, value: string>>"
 
 
-def parse_records(df: DataFrame, payload: str, keep: Sequence[str], levels: Mapping[str, Sequence[str]], optional: Sequence[str] = ()) -> DataFrame:
+def parse_records(df: DataFrame, payload: str, keep: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns and ``cells`` of every readable record; unreadable, empty and NULL ones give no row.
 
-    Records without any row keep an empty array: they are readable. At most three levels.
+    Records without any cell keep an empty array: they are readable.
     """
-    levels, optional = {n: tuple(k) for n, k in levels.items()}, frozenset(optional)
-    if max(map(len, levels.values()), default=0) > 3:
-        raise ValueError("at most three levels")
+    optional = frozenset(optional)
     kinds = dict(df.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", cells {_CELLS}"
-    names = [f.name for f in _CELL]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):  # bounds what is held at once
                 part = batch.slice(start, 500)
                 found = [triples(x) for x in part.column(len(keep)).to_pylist()]
-                rows = [[dict(zip(names, cell)) for cell in grouped(x, levels, optional)] for x in found if x is not None]
-                if rows:
-                    good = pa.array([x is not None for x in found])
-                    yield pa.RecordBatch.from_arrays([*(part.column(i).filter(good) for i in range(len(keep))), pa.array(rows, type=pa.list_(_CELL))], names=[*keep, "cells"])
+                good = pa.array([x is not None for x in found])
+                rows = [cells(x, optional) for x in found if x is not None]
+                if not rows:
+                    continue
+                flat = [c for row in rows for c in row]
+                steps = [i for c in flat for i in c[1]]
+                ends = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(np.fromiter(sizes, dtype=np.int64))]).astype(np.int32))
+                at = pa.ListArray.from_arrays(ends(len(c[1]) for c in flat), pa.array(steps, pa.int32()))
+                fields = [pa.array([c[0] for c in flat], pa.string()), at, pa.array([c[2] for c in flat], pa.string()), pa.array([c[3] for c in flat], pa.string())]
+                told = pa.ListArray.from_arrays(ends(map(len, rows)), pa.StructArray.from_arrays(fields, ["path", "at", "kind", "value"]))
+                yield pa.RecordBatch.from_arrays([*(part.column(i).filter(good) for i in range(len(keep))), told], names=[*keep, "cells"])
 
     return df.select(*keep, payload).mapInArrow(parse, schema)
 
 
-def latest_readable(parsed: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """(key, cells) of the record that is greatest by ``order`` per key; NULL keys have no record, repeats collapse on the map side."""
-    return parsed.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by("cells", F.struct(*order)).alias("cells"))
+def plausible(payload: Column) -> Column:
+    """Whether a text ends as it begins: what parse_records can read always does, what was cut off mostly doesn't."""
+    bare = F.regexp_replace(payload, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
+    first, last = F.left(bare, F.lit(1)), F.right(bare, F.lit(1))
+    return F.when(first == "{", last == "}").when(first == "[", last == "]").when(first == '"', last == '"').otherwise(bare != "")
 
 
-def child_rows(records: DataFrame, key: str) -> DataFrame:
-    """(key, child_table, idx1, idx2, idx3, field, value), exploded, only of rows that hold something.
+def latest_readable(df: DataFrame, payload: str, key: str, order: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
+    """(key, cells) of the readable record that is greatest by ``order`` per key; NULL keys have no record.
 
-    A row is a non-empty object or a non-NULL scalar in an element's place.
+    Only the latest plausible record of a key is parsed; where it can't be read, the one before it is tried. Ties go to the
+    greater content hash. The latest are found by an aggregation without the payloads, and a key of any number of records is nowhere gathered.
     """
-    cells = records.select(key, F.explode("cells").alias("c")).select(key, "c.*")
-    row = [key, "child_table", "idx1", "idx2", "idx3"]
+    rows = df.where(F.col(key).isNotNull() & plausible(F.col(payload)))
+    place = F.struct(*order)
+    todo, out = rows.groupBy(key).agg(F.max(place).alias("__p")), None
+    while True:
+        chosen = todo.select(F.col(key).alias("__k"), *(F.col(f"__p.{c}").alias(f"__{c}") for c in order))
+        same = F.col(key) == F.col("__k")
+        for c in order:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        texts = rows.join(chosen, same, "left_semi").select(key, F.xxhash64(payload).alias("__h"), payload)
+        read = cut(parse_records(texts, payload, [key, "__h"], optional).groupBy(key).agg(F.max_by("cells", "__h").alias("cells")))
+        out = read if out is None else out.unionByName(read)
+        failed = todo.join(read.select(key), key, "left_anti").withColumnRenamed("__p", "__last")
+        todo = cut(rows.select(key, *order).join(failed, key).where(place < F.col("__last")).groupBy(key).agg(F.max(place).alias("__p")))
+        if todo.isEmpty():
+            return out
+
+
+def repeated_paths(records: DataFrame, column: str = "cells", most: int = MOST_PATHS) -> list[str]:
+    """The paths that are an array's element in any record: found in all of the data, at any depth. Raises beyond ``most``."""
+    cell = records.select(F.explode(column).alias("c")).select("c.path", "c.at").distinct().select(F.split("path", STEP).alias("keys"), "at")
+    steps = cell.select(F.explode(F.filter(F.sequence(F.lit(1), F.size("at")), lambda i: F.get("at", i - 1) > 0)).alias("i"), "keys")
+    found = sorted(r[0] for r in steps.select(F.array_join(F.slice("keys", 1, F.col("i")), STEP)).distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"more than {most} repeated paths: keys seem to be data")
+    return found
+
+
+def child_rows(records: DataFrame, key: str, names: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """(key, child_table, idx, fields) of the elements of every repeated path, only of rows that hold something.
+
+    ``names`` maps a table's name to the keys of its path; named paths count as repeated even where no record repeats them, other
+    repeated paths are named by their keys. idx has the position from 1 of each repeated ancestor, outermost first; one that is
+    no array's element is its single element. A row is a non-empty object or a non-NULL scalar in an element's place; its fields
+    are the nodes below it that no deeper repeated path has.
+    """
+    records = cut(records)
+    named = {STEP.join(keys): name for name, keys in (names or {}).items()}
+    paths = sorted({*named, *repeated_paths(records)})
+    label = F.create_map(*(F.lit(x) for p in paths for x in (p, named.get(p, p.replace(STEP, "."))))) if paths else F.create_map().cast("map<string,string>")
+    known = F.array(*map(F.lit, paths)).cast("array<string>")
+    cell = records.select(key, F.explode("cells").alias("c")).select(key, F.col("c.path").alias("path"), "c.at", "c.kind", "c.value", F.split("c.path", STEP).alias("keys"))
+    depths = F.filter(F.sequence(F.lit(1), F.size("keys")), lambda i: F.array_contains(known, F.array_join(F.slice("keys", F.lit(1), i), STEP)))
+    placed = cell.withColumn("depths", depths).where(F.size("depths") > 0).withColumn("depth", F.element_at("depths", -1))
+    placed = placed.select(
+        key, F.try_element_at(label, F.array_join(F.slice("keys", F.lit(1), F.col("depth")), STEP)).alias("child_table"), F.transform("depths", lambda i: F.greatest(F.get("at", i - 1), F.lit(1))).alias("idx"),
+        F.array_join(F.slice("keys", F.col("depth") + 1, F.size("keys")), ".").alias("field"), "kind", "value",
+    )
     holds = (F.col("field") == "") & F.when(F.col("kind") == "object", F.col("value").try_cast("int") > 0).otherwise(F.col("kind") != "null")
-    return cells.groupBy(*row).agg(
+    return placed.groupBy(key, "child_table", "idx").agg(
         F.max(holds).alias("__holds"),
         F.collect_list(F.when((F.col("field") != "") & (F.col("kind") != "object"), F.struct("field", "value"))).alias("fields"),
     ).where("__holds").drop("__holds")
 
 
 def child_table(rows: DataFrame, key: str, name: str, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """One flat table of ``name``: key, idx1.., and ``columns`` (result name to dotted path and type).
+    """One flat table of ``name``: key, idx, and ``columns`` (result name to dotted path and type).
 
     A path that ends in an object with only ``value`` may be given without it. A field given
     twice in a row takes its first value; text that doesn't fit the type gives NULL.
@@ -196,6 +248,6 @@ def child_table(rows: DataFrame, key: str, name: str, columns: Mapping[str, tupl
         return F.filter("fields", lambda x: x["field"].isin(path, f"{path}.value") & x["value"].isNotNull())
 
     return rows.where(F.col("child_table") == name).select(
-        key, "idx1", "idx2", "idx3",
+        key, "idx",
         *(F.try_element_at(picked(path), F.lit(1))["value"].try_cast(kind).alias(c) for c, (path, kind) in columns.items()),
     )

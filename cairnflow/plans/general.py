@@ -195,7 +195,8 @@ def p5_names(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- nested records
 
-LEVELS = {
+#: Names of the child tables; other paths that repeat would appear under their keys.
+CHILDREN = {
     "owner": ["reportingOwner"],
     "non_derivative": ["reportingOwner", "nonDerivativeTable"],
     "derivative": ["reportingOwner", "derivativeTable"],
@@ -208,12 +209,21 @@ WRAPPERS = ["ownershipDocument", "nonDerivativeTransaction", "derivativeTransact
 
 def _children(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "raw_payload").select("record_key", "fetched_at", "raw_object_id", "payload")
-    parsed = nested.parse_records(raw, "payload", ["record_key", "fetched_at", "raw_object_id"], LEVELS, WRAPPERS)
-    return nested.child_rows(nested.latest_readable(parsed, "record_key", [F.col("fetched_at"), F.col("raw_object_id")]), "record_key")
+    return nested.child_rows(nested.latest_readable(raw, "payload", "record_key", ["fetched_at", "raw_object_id"], WRAPPERS), "record_key", CHILDREN)
+
+
+def _at(i: int, name: str) -> F.Column:
+    return F.coalesce(F.get("idx", F.lit(i)), F.lit(0)).alias(name)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _children(spark, d).select("record_key", "child_table", "idx1", "idx2", "idx3")
+    rows = _children(spark, d).where(F.col("child_table").isin(*CHILDREN))
+    return rows.select("record_key", "child_table", _at(0, "idx1"), _at(1, "idx2"), _at(2, "idx3"))
+
+
+def p7_child_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows every repeated path has, those without a name of their own included."""
+    return _children(spark, d).groupBy("child_table").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("record_key").alias("n_records"))
 
 
 def p7_owners(spark: SparkSession, d: str) -> DataFrame:
@@ -221,7 +231,13 @@ def p7_owners(spark: SparkSession, d: str) -> DataFrame:
         "owner_cik": ("reportingOwnerId.rptOwnerCik", "bigint"), "owner_name": ("reportingOwnerId.rptOwnerName", "string"), "is_director": ("reportingOwnerRelationship.isDirector", "boolean"),
         "is_officer": ("reportingOwnerRelationship.isOfficer", "boolean"), "officer_title": ("reportingOwnerRelationship.officerTitle", "string"),
     })
-    return out.withColumnRenamed("idx1", "owner_index").drop("idx2", "idx3")
+    return out.withColumn("owner_index", _at(0, "owner_index")).drop("idx")
+
+
+def _both(spark: SparkSession, d: str, plain: str, derivative: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
+    rows = _children(spark, d)
+    one = lambda name, flag: nested.child_table(rows, "record_key", name, columns).withColumn("is_derivative", F.lit(flag))
+    return one(plain, False).unionByName(one(derivative, True))
 
 
 def p7_transactions(spark: SparkSession, d: str) -> DataFrame:
@@ -231,23 +247,17 @@ def p7_transactions(spark: SparkSession, d: str) -> DataFrame:
         "acquired_disposed": ("transactionAmounts.transactionAcquiredDisposedCode", "string"), "shares_owned_after": ("postTransactionAmounts.sharesOwnedFollowingTransaction", "double"),
         "ownership_nature": ("ownershipNature.directOrIndirectOwnership", "string"), "underlying_title": ("underlyingSecurity.title", "string"), "underlying_shares": ("underlyingSecurity.shares", "double"), "exercise_date": ("exerciseDate", "date"),
     }
-    rows = _children(spark, d)
-    plain = nested.child_table(rows, "record_key", "non_derivative", columns).withColumn("is_derivative", F.lit(False))
-    both = plain.unionByName(nested.child_table(rows, "record_key", "derivative", columns).withColumn("is_derivative", F.lit(True)))
-    return both.withColumnsRenamed({"idx1": "owner_index", "idx2": "txn_index"}).drop("idx3")
+    return _both(spark, d, "non_derivative", "derivative", columns).withColumns({"owner_index": _at(0, "owner_index"), "txn_index": _at(1, "txn_index")}).drop("idx")
 
 
 def p7_footnotes(spark: SparkSession, d: str) -> DataFrame:
-    columns = {"footnote_id": ("id", "string"), "footnote_text": ("text", "string")}
-    rows = _children(spark, d)
-    plain = nested.child_table(rows, "record_key", "non_derivative_note", columns).withColumn("is_derivative", F.lit(False))
-    both = plain.unionByName(nested.child_table(rows, "record_key", "derivative_note", columns).withColumn("is_derivative", F.lit(True)))
-    return both.withColumnsRenamed({"idx1": "owner_index", "idx2": "txn_index", "idx3": "footnote_index"})
+    both = _both(spark, d, "non_derivative_note", "derivative_note", {"footnote_id": ("id", "string"), "footnote_text": ("text", "string")})
+    return both.withColumns({"owner_index": _at(0, "owner_index"), "txn_index": _at(1, "txn_index"), "footnote_index": _at(2, "footnote_index")}).drop("idx")
 
 
 def p7_manifest_tables(spark: SparkSession, d: str) -> DataFrame:
     out = nested.child_table(_children(spark, d), "record_key", "manifest_table", {"table_name": ("table_name", "string"), "relative_path": ("relative_path", "string"), "row_count": ("row_count", "bigint"), "file_count": ("file_count", "bigint")})
-    return out.withColumnRenamed("idx1", "table_index").drop("idx2", "idx3")
+    return out.withColumn("table_index", _at(0, "table_index")).drop("idx")
 
 
 QUERIES = {
@@ -257,7 +267,7 @@ QUERIES = {
         p3_found, p3_heavy_keys, p3_filings_by_cik, p3_ownership_by_company, p3_holdings_by_accession, p3_latest_transactions,
         p4_found, p4_cells, p4_entity_parity, p4_relationship_parity, p4_published_parity,
         p5_found, p5_history, p5_names,
-        p7_found, p7_owners, p7_transactions, p7_footnotes, p7_manifest_tables,
+        p7_found, p7_child_counts, p7_owners, p7_transactions, p7_footnotes, p7_manifest_tables,
     )
 }
 
@@ -290,6 +300,11 @@ _SEEN = f"""
     marked AS (SELECT *, row_number() OVER v AS n, {", ".join(f"lag({c}) OVER v AS p{i}" for i, c in enumerate(["name_key", *TRACKED[1:]]))} FROM keyed WINDOW v AS (PARTITION BY cik ORDER BY last_synced_at)),
     version AS (SELECT cik, last_synced_at AS valid_from, {", ".join(TRACKED)} FROM marked WHERE n = 1 OR {" OR ".join(f"{c} IS DISTINCT FROM p{i}" for i, c in enumerate(["name_key", *TRACKED[1:]]))})"""
 
+_UNITS = "CASE WHEN {0} IS NULL OR json_type({0}) = 'NULL' THEN NULL WHEN json_type({0}) = 'ARRAY' THEN {0} ELSE json_array({0}) END"
+_READABLE = """
+    texts AS (SELECT record_key, fetched_at, raw_object_id, CASE WHEN json_valid(payload) AND json_type(payload) = 'VARCHAR' THEN json_extract_string(payload, '$') ELSE payload END AS j FROM raw_payload WHERE record_key IS NOT NULL),
+    last AS (SELECT record_key, arg_max(j, (fetched_at, raw_object_id)) AS j FROM texts WHERE json_valid(j) GROUP BY 1)"""
+
 SQL = {
     "p3_found": f"SELECT table_name, key_value FROM ({_HEAVY})",
     "p3_heavy_keys": f"SELECT *, round(n_rows / total_rows, 6) AS row_share FROM ({_HEAVY})",
@@ -326,4 +341,10 @@ SQL = {
     ),
     "p5_found": f"WITH {_SEEN} SELECT DISTINCT cik, CAST(floor(epoch(valid_from)) AS BIGINT) AS version_start FROM version",
     "p5_history": f"WITH {_SEEN} SELECT cik, valid_from, lead(valid_from) OVER (PARTITION BY cik ORDER BY valid_from) AS valid_to, lead(valid_from) OVER (PARTITION BY cik ORDER BY valid_from) IS NULL AS is_current, {', '.join(TRACKED)} FROM version",
+    "p7_manifest_tables": f"""
+        WITH {_READABLE}, u AS (SELECT record_key, {_UNITS.format("json_extract(j, '$.tables')")} AS a FROM last), e AS (SELECT record_key, unnest(CAST(a AS JSON[])) AS t, generate_subscripts(CAST(a AS JSON[]), 1) AS i FROM u WHERE a IS NOT NULL)
+        SELECT record_key, CAST(i AS INT) AS table_index, json_extract_string(t, '$.table_name') AS table_name, json_extract_string(t, '$.relative_path') AS relative_path, try_cast(json_extract_string(t, '$.row_count') AS BIGINT) AS row_count, try_cast(json_extract_string(t, '$.file_count') AS BIGINT) AS file_count
+        FROM e WHERE json_type(t) <> 'NULL' AND CAST(t AS VARCHAR) NOT IN ('{{}}', '[]')""",
+    "p5_names": None,
 }
+SQL = {k: v for k, v in SQL.items() if v}

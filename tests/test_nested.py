@@ -1,8 +1,6 @@
 import json
 import random
 
-from pyspark.sql import functions as F
-
 from cairnflow.operators import nested
 
 LEVELS = {"owner": ["o"], "txn": ["o", "t"], "note": ["o", "t", "n"]}
@@ -62,9 +60,8 @@ def test_rows_against_brute_force(spark):
     docs = [(f"k{i}", j, json.dumps(random_doc(r)) if r.random() < 0.9 else "{cut") for i in range(60) for j in range(2)]
     docs += docs[:10] + [(None, 1, "{}"), ("deep", 1, "[" * 20_000), ("none", 1, None)]
     df = spark.createDataFrame(docs, "k string, at int, payload string")
-    parsed = nested.parse_records(df, "payload", ["k", "at"], LEVELS, ["root", "w"])
-    rows = nested.child_rows(nested.latest_readable(parsed, "k", [F.col("at")]), "k")
-    got = {(x.k, x.child_table, x.idx1, x.idx2, x.idx3) for x in rows.collect()}
+    rows = nested.child_rows(nested.latest_readable(df, "payload", "k", ["at"], ["root", "w"]), "k", LEVELS)
+    got = {(x.k, x.child_table, *(x.idx + [0, 0])[:3]) for x in rows.collect()}
     last = {}
     for k, at, p in docs:
         try:
@@ -78,6 +75,23 @@ def test_rows_against_brute_force(spark):
 
 def test_pivot(spark):
     df = spark.createDataFrame([("k", json.dumps({"o": [{"id": {"value": 7}, "name": "x"}, {"name": None, "id": "8"}]}))], "k string, payload string")
-    rows = nested.child_rows(nested.parse_records(df, "payload", ["k"], LEVELS), "k")
-    got = nested.child_table(rows, "k", "owner", {"id": ("id", "bigint"), "name": ("name", "string")}).orderBy("idx1").collect()
-    assert [(r.idx1, r.id, r.name) for r in got] == [(1, 7, "x"), (2, 8, None)]
+    rows = nested.child_rows(nested.parse_records(df, "payload", ["k"]), "k", LEVELS)
+    got = nested.child_table(rows, "k", "owner", {"id": ("id", "bigint"), "name": ("name", "string")}).orderBy("idx").collect()
+    assert [(r.idx[0], r.id, r.name) for r in got] == [(1, 7, "x"), (2, 8, None)]
+
+
+def test_repeated_ancestors_are_found_at_any_depth(spark):
+    """Four levels, none of them declared; what never repeats stays a field of its row."""
+    doc = {"a": [{"b": {"c": [{"d": [{"e": [{"x": 1}, {"x": 2}], "y": {"z": 3}}]}]}}], "plain": {"p": 1}}
+    df = spark.createDataFrame([("k", json.dumps(doc)), ("m", json.dumps({"a": {"b": {"c": {"d": {"e": {"x": 5}}}}}}))], "k string, payload string")
+    rows = nested.child_rows(nested.parse_records(df, "payload", ["k"]), "k").collect()
+    got = {(r.k, r.child_table, tuple(r.idx)) for r in rows}
+    one = [("a", (1,)), ("a.b.c", (1, 1)), ("a.b.c.d", (1, 1, 1)), ("a.b.c.d.e", (1, 1, 1, 1))]
+    assert got == {("k", *x) for x in one} | {("k", "a.b.c.d.e", (1, 1, 1, 2))} | {("m", *x) for x in one}
+    assert next(sorted((f.field, f.value) for f in r.fields) for r in rows if r.k == "k" and r.child_table == "a.b.c.d") == [("y.z", "3")]
+
+
+def test_unreadable_latest_gives_way(spark):
+    df = spark.createDataFrame([("k", 1, '{"o": [{"v": 1}]}'), ("k", 2, '{"o": [{"v": 2}, }'), ("k", 3, '{"o": [{"v"'), ("z", 1, '{"o": [}'), ("z", None, "{}")], "k string, at int, payload string")
+    got = {r.k: len(r.cells) for r in nested.latest_readable(df, "payload", "k", ["at"]).collect()}
+    assert got == {"k": 2, "z": 0}
