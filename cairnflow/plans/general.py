@@ -22,21 +22,26 @@ FACT_COLUMNS = {
 FILE = ["feed_id", "file_seq", "file_id"]
 
 
-def _changes(spark: SparkSession, d: str, where: str = "true") -> tuple[DataFrame, DataFrame, DataFrame]:
+def _scripts(spark: SparkSession, d: str, where: str = "true") -> tuple[DataFrame, DataFrame]:
     records = table(spark, d, "landing_record").where(where)
     values = cut(drift.field_values(records, "payload", FILE))  # parsed once, read by every branch below
-    files = records.select(*FILE)
-    return records, values, drift.schema_changes(values, files)
+    return records, drift.feed_scripts(values, records.select(*FILE))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _changes(spark, d)[2].select("file_id", "field_name", "change_kind", "new_name").distinct()
+    """Changes of the records' own fields; those of nested members are in p2_changes."""
+    changes = drift.schema_changes(_scripts(spark, d)[1]).where("level = 1 AND change_kind <> 'moved'")
+    return changes.select("file_id", "field_name", "change_kind", "new_name").distinct()
+
+
+def p2_changes(spark: SparkSession, d: str) -> DataFrame:
+    """All changes, those of nested members and moves between levels included."""
+    return drift.schema_changes(_scripts(spark, d)[1]).distinct()
 
 
 def _unified(spark: SparkSession, d: str, name: str, columns: dict[str, str]) -> DataFrame:
-    records, values, changes = _changes(spark, d, f"table_name = '{name}'")
-    plan = drift.projections(changes, values, records.select(*FILE), list(columns))
-    return drift.read_as_one(records, "payload", plan, columns, ["record_id", "feed_id", "file_seq", "row_no"])
+    records, scripts = _scripts(spark, d, f"table_name = '{name}'")
+    return drift.read_as_one(records, "payload", drift.projections(scripts, list(columns)), columns, ["record_id", "feed_id", "file_seq", "row_no"])
 
 
 def p2_company_table(spark: SparkSession, d: str) -> DataFrame:
@@ -263,7 +268,7 @@ def p7_manifest_tables(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p2_found, p2_company_table, p2_fact_table,
+        p2_found, p2_changes, p2_company_table, p2_fact_table,
         p3_found, p3_heavy_keys, p3_filings_by_cik, p3_ownership_by_company, p3_holdings_by_accession, p3_latest_transactions,
         p4_found, p4_cells, p4_entity_parity, p4_relationship_parity, p4_published_parity,
         p5_found, p5_history, p5_names,

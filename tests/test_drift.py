@@ -39,7 +39,8 @@ def hash_id(feed, seq):
 def changes(spark, files):
     df = records(spark, files)
     values = drift.field_values(df.drop("field"), "payload", ["feed_id", "file_seq", "file_id"])
-    return df, values, drift.schema_changes(values, df)
+    scripts = drift.feed_scripts(values, df)
+    return df, scripts, drift.schema_changes(scripts)
 
 
 def test_changes_per_file(spark):
@@ -53,8 +54,8 @@ def test_changes_per_file(spark):
 
 def test_one_table_out_of_all_files(spark):
     base = [{"cik": 100 + i, "at": f"2024-01-0{i + 1}T00:00:00Z"} for i in range(4)]
-    df, values, c = changes(spark, [("a", 1, base), ("a", 2, [{"Company_CIK": str(r["cik"]), "at": [r["at"]]} for r in base])])
-    plan = drift.projections(c, values, df, ["cik", "at"])
+    df, scripts, _ = changes(spark, [("a", 1, base), ("a", 2, [{"Company_CIK": str(r["cik"]), "at": [r["at"]]} for r in base])])
+    plan = drift.projections(scripts, ["cik", "at"])
     got = drift.read_as_one(df, "payload", plan, {"cik": "bigint", "at": "timestamp"}, ["file_seq"])
     assert sorted((r.file_seq, r.cik, r["at"].day) for r in got.collect()) == [(f, 100 + i, i + 1) for f in (1, 2) for i in range(4)]
 
@@ -62,3 +63,20 @@ def test_one_table_out_of_all_files(spark):
 def test_no_records(spark):
     _, _, c = changes(spark, [("a", 1, [None])])
     assert c.count() == 0
+
+
+def test_schema_texts_are_trees():
+    got = drift.parse_schema("OBJECT<a: STRING, `b c`: ARRAY<OBJECT<x: DECIMAL(3,1), y: VOID>>, d: OBJECT<e: BIGINT>>")
+    leaf = lambda k: {"kind": k, "children": {}}
+    assert got == {"a": leaf("string"), "b c": {"kind": "array", "children": {"[]": {"kind": "object", "children": {"x": leaf("number"), "y": leaf(None)}}}}, "d": {"kind": "object", "children": {"e": leaf("number")}}}
+
+
+def test_nested_members_and_moves(spark):
+    """Members of an object are added, removed and renamed by path; a field that goes into an object is followed there."""
+    one = [{"id": i, "cik": 100 + i, "place": {"street": f"s{i}", "zip": i}, "geo": {"lat": 1.5}} for i in range(4)]
+    two = [{"id": i, "place": {"street_1": f"s{i}", "zip": str(i), "cik": 100 + i}, "geo": {"lat": 1.5, "lon": 2.5}} for i in range(4)]
+    df, scripts, c = changes(spark, [("a", 1, one), ("a", 2, two), ("a", 3, two)])
+    got = {(r.file_seq, r.field_name, r.change_kind, r.new_name, r.level) for r in c.collect()}
+    assert got == {(2, "cik", "removed", "", 1), (2, "cik", "moved", "place.cik", 2), (2, "place.street", "renamed", "place.street_1", 2), (2, "place.zip", "retyped", "", 2), (2, "geo.lon", "added", "", 2)}
+    rows = drift.read_as_one(df, "payload", drift.projections(scripts, ["id", "cik"]), {"id": "bigint", "cik": "bigint"}, ["file_seq"]).collect()
+    assert {(r.file_seq, r.id, r.cik) for r in rows} == {(f, i, 100 + i) for f in (1, 2, 3) for i in range(4)}
