@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,17 +34,65 @@ def write_landing(tables: dict[str, DataFrame], folder: str, run_id: str) -> Dat
     return manifest
 
 
+def move_pointer(spark: SparkSession, folder: str, value: str, note: str = "") -> None:
+    """Adds a pointer above all before it: one file, committed by a rename; nothing is deleted, so readers always find the old or the new one."""
+    last = read_pointer(spark, folder)
+    row = spark.createDataFrame([((last[0] if last else 0) + 1, value, note)], POINTER)
+    row.coalesce(1).write.mode("append").json(os.path.join(folder, "_pointer"))
+
+
+POINTER = "at long, value string, note string"
+
+
+def read_pointer(spark: SparkSession, folder: str) -> tuple[int, str, str] | None:
+    """(number, value, note) of the greatest pointer; None where there never was one."""
+    try:
+        row = spark.read.schema(POINTER).json(os.path.join(folder, "_pointer")).where("at IS NOT NULL").orderBy(F.desc("at"), F.desc("value")).first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return (row["at"], row["value"], row["note"]) if row else None
+
+
 def publish(df: DataFrame, folder: str, generation: str) -> None:
-    """Writes a new generation, then moves the pointer: readers see the old or the new one, whole."""
+    """Writes a new generation, then moves the pointer: readers see the old or the new one, whole, whenever the writer may fail."""
     df.write.mode("errorifexists").parquet(os.path.join(folder, f"generation={generation}"))
-    spark = df.sparkSession
-    spark.createDataFrame([(generation,)], "generation string").coalesce(1).write.mode("overwrite").json(os.path.join(folder, "_pointer"))
+    move_pointer(df.sparkSession, folder, generation)
+
+
+def activate(spark: SparkSession, folder: str, generation: str) -> None:
+    """Moves the pointer to a generation that was written before, forward or back; raises if there is none."""
+    spark.read.parquet(os.path.join(folder, f"generation={generation}"))
+    move_pointer(spark, folder, generation)
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:
     """The generation that the pointer names."""
-    generation = spark.read.schema("generation string").json(os.path.join(folder, "_pointer")).first()["generation"]
-    return spark.read.parquet(os.path.join(folder, f"generation={generation}"))
+    found = read_pointer(spark, folder)
+    if found is None:
+        raise FileNotFoundError(f"nothing is published in {folder}")
+    return spark.read.parquet(os.path.join(folder, f"generation={found[1]}"))
+
+
+def publish_checked(tables: dict[str, DataFrame], counts: dict[str, int], folder: str, generation: str) -> None:
+    """Publishes several tables as one: all are written and counted, and only if every count is the manifest's does the one pointer move."""
+    for name, df in sorted(tables.items()):
+        path = os.path.join(folder, f"generation={generation}", name)
+        df.write.mode("errorifexists").parquet(path)
+        n = df.sparkSession.read.parquet(path).count()
+        if n != counts.get(name):
+            raise ValueError(f"{name} has {n} rows, its manifest says {counts.get(name)}")
+    if tables:
+        move_pointer(next(iter(tables.values())).sparkSession, folder, generation)
+
+
+def published_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the generation that the pointer names."""
+    found = read_pointer(spark, folder)
+    if found is None:
+        raise FileNotFoundError(f"nothing is published in {folder}")
+    return spark.read.parquet(os.path.join(folder, f"generation={found[1]}", name))
 
 
 def retained(generations: DataFrame, name: str, at: str, newest: int, days: int, now: str, active: str) -> DataFrame:
