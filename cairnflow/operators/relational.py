@@ -102,3 +102,20 @@ def next_business_day(days: DataFrame, day: str, holidays: DataFrame) -> DataFra
     closed = holidays.agg(F.collect_set("day").alias("__closed"))  # some eleven a year
     later = F.filter(F.transform(F.sequence(F.lit(1), F.lit(10)), lambda i: F.date_add(F.col(day), i.cast("int"))), lambda d: (F.weekday(d) < 5) & ~F.array_contains("__closed", d))
     return days.crossJoin(F.broadcast(closed)).withColumn("next_day", later[0]).drop("__closed")  # one row
+
+
+def not_among(df: DataFrame, column: str, keys: DataFrame, key: str, unknown: str = "sql") -> DataFrame:
+    """Rows whose value is not among ``keys``, with a stated rule for NULLs.
+
+    ``sql``: as NOT IN does it, a NULL among the keys leaves no row, and a NULL value passes only where there are no keys at all.
+    ``keep``: NULL keys don't count, NULL values pass. ``drop``: NULL keys don't count, NULL values don't pass.
+    """
+    known = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("__k")).distinct()
+    rest = df.join(known, F.col(column) == F.col("__k"), "left_anti")
+    if unknown == "keep":
+        return rest
+    if unknown == "drop":
+        return rest.where(F.col(column).isNotNull())
+    told = keys.agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(key).isNull()).alias("__nulls"))
+    passes = (F.col("__nulls") == 0) & (F.col(column).isNotNull() | (F.col("__n") == 0))
+    return rest.crossJoin(F.broadcast(told)).where(passes).drop("__n", "__nulls")  # one row

@@ -174,11 +174,18 @@ def jn_anti_left_null(spark, d):
     return part("source_entity_id", "edge without source").unionByName(part("target_entity_id", "edge without target"))
 
 
-@query("SELECT entity_id FROM mdm_company WHERE entity_id NOT IN (SELECT parent_company_entity_id FROM mdm_company WHERE parent_company_entity_id IS NOT NULL)")
+_PARENTS = "SELECT parent_company_entity_id FROM mdm_company"
+
+
+@query(f"SELECT 'sql' AS rule, entity_id FROM mdm_company WHERE entity_id NOT IN ({_PARENTS}) UNION ALL SELECT 'sql, known keys', ticker FROM mdm_company WHERE ticker NOT IN (SELECT ticker FROM mdm_company WHERE ticker < 'M') UNION ALL SELECT 'keep', ticker FROM mdm_company WHERE ticker IS NULL OR ticker NOT IN (SELECT ticker FROM mdm_company WHERE ticker < 'M') UNION ALL SELECT 'drop', entity_id FROM mdm_company WHERE entity_id NOT IN ({_PARENTS} WHERE parent_company_entity_id IS NOT NULL)")
 def jn_not_in_nullable(spark, d):
+    """NOT IN over keys that hold NULLs: by SQL's rule none is left; by the others NULL keys don't count."""
     c = table(spark, d, "mdm_company")
-    parents = c.where("parent_company_entity_id IS NOT NULL").select(F.col("parent_company_entity_id").alias("entity_id")).distinct()
-    return c.select("entity_id").join(parents, "entity_id", "left_anti")
+    low = c.where("ticker < 'M'")
+    one = lambda rule, df, column: df.select(F.lit(rule).alias("rule"), F.col(column).alias("entity_id"))
+    a = one("sql", R.not_among(c, "entity_id", c, "parent_company_entity_id"), "entity_id").unionByName(one("sql, known keys", R.not_among(c.select("ticker"), "ticker", low.select(F.col("ticker").alias("t")), "t"), "ticker"))
+    b = one("keep", R.not_among(c.select("ticker"), "ticker", low.select(F.col("ticker").alias("t")), "t", "keep"), "ticker").unionByName(one("drop", R.not_among(c, "entity_id", c, "parent_company_entity_id", "drop"), "entity_id"))
+    return a.unionByName(b)
 
 
 @query("SELECT o_orderkey, o_totalprice, (SELECT max(o_totalprice) FROM orders) AS top_price FROM orders WHERE o_orderpriority = '1-URGENT'")

@@ -91,3 +91,49 @@ def union_shards(shards: Sequence[DataFrame], columns: Sequence[str]) -> DataFra
     if out is None:
         raise ValueError("no shard has any of the columns")
     return out.select(*(c for c in columns if c in out.columns))
+
+
+SUBMISSION = "name string, entityType string, sic string, sicDescription string, stateOfIncorporation string, fiscalYearEnd string, ein string, category string, addresses map<string, struct<street1: string, street2: string, city: string, stateOrCountry: string, zipCode: string>>, formerNames array<struct<name: string, date: string>>, filings struct<files: array<struct<name: string, filingCount: bigint, filingFrom: string, filingTo: string>>>"
+
+
+def submissions(df: DataFrame, payload: str, keep: Sequence[str]) -> dict[str, DataFrame]:
+    """The company, its addresses by type, its former names (ordinal from 1) and its further files of a registrant's JSON; files without a name are none."""
+    j = df.select(*keep, F.from_json(payload, SUBMISSION).alias("j")).where("j IS NOT NULL")
+    company = j.select(*keep, F.col("j.name").alias("entity_name"), F.col("j.entityType").alias("entity_type"), "j.sic", F.col("j.sicDescription").alias("sic_description"), F.col("j.stateOfIncorporation").alias("state_of_incorporation"), F.col("j.fiscalYearEnd").alias("fiscal_year_end"), "j.ein", "j.category")
+    a = j.select(*keep, F.explode("j.addresses").alias("address_type", "a")).where("a IS NOT NULL")
+    former = j.select(*keep, F.posexplode("j.formerNames").alias("i", "f")).where("f IS NOT NULL")
+    files = j.select(*keep, F.explode("j.filings.files").alias("f")).where("f.name <> ''")
+    day = lambda c: F.try_to_date(F.substring(c, 1, 10))
+    return {
+        "company": company,
+        "address": a.select(*keep, "address_type", "a.street1", "a.street2", "a.city", F.col("a.stateOrCountry").alias("state_or_country"), F.col("a.zipCode").alias("zip_code")),
+        "former_name": former.select(*keep, F.col("f.name").alias("former_name"), day("f.date").alias("date_changed"), (F.col("i") + 1).alias("ordinal")),
+        "manifest": files.select(*keep, F.col("f.name").alias("file_name"), F.col("f.filingCount").alias("filing_count"), day("f.filingFrom").alias("filing_from"), day("f.filingTo").alias("filing_to")),
+    }
+
+
+#: Annual forms, and the auditor's facts that filings of these carry (fixed values).
+ANNUAL = ["10-K", "10-K/A", "20-F", "20-F/A", "40-F", "40-F/A"]
+AUDITOR = {"AuditorName": "auditor_name", "AuditorFirmId": "auditor_pcaob_id", "AuditorLocation": "auditor_location", "IcfrAuditorAttestationFlag": "icfr_attestation"}
+
+
+def auditor_facts(facts: DataFrame, accession: str, concept: str, form: str, value: str, at: str) -> DataFrame:
+    """One row per annual filing with a column per auditor fact, the last by ``at`` where one comes twice; other forms and concepts have none."""
+    rows = facts.where(F.col(form).isin(*ANNUAL) & F.col(concept).isin(*AUDITOR) & (F.col(accession) != ""))
+    return rows.groupBy(accession).agg(*(F.max_by(F.trim(value), F.when((F.col(concept) == c) & F.col(value).isNotNull(), F.col(at))).alias(n) for c, n in AUDITOR.items()))
+
+
+def thirteenf_cover(xml: Column) -> Column:
+    """struct(is_amendment, amendment_type, confidential_omission, period_of_report) of a 13F cover page; an amendment of an unknown type raises."""
+    text = lambda tag: F.nullif(F.trim(F.regexp_extract(xml, rf"(?is)<(?:\w+:)?{tag}>(.*?)</(?:\w+:)?{tag}>", 1)), F.lit(""))
+    yes = lambda tag: F.coalesce(F.lower(text(tag)).isin("true", "1", "yes"), F.lit(False))
+    raw, amended = F.lower(text("amendmentType")), yes("isAmendment")
+    kind = F.when(~amended, None).when(raw.isin("restatement", "restated"), "restatement").when(raw.isin("new holdings", "new holdings entries", "added holdings", "addition"), "added_holdings").otherwise(F.raise_error(F.lit("an amendment lacks a known type")).cast("string"))
+    period = F.replace(text("periodOfReport"), F.lit("/"), F.lit("-"))
+    day = F.when(period.rlike(r"^\d{4}-\d+-\d+$"), F.substring(period, 1, 10)).when(period.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), F.concat_ws("-", F.split(period, "-")[2], F.lpad(F.split(period, "-")[0], 2, "0"), F.lpad(F.split(period, "-")[1], 2, "0")))
+    return F.struct(amended.alias("is_amendment"), kind.alias("amendment_type"), yes("confidentialOmitted").alias("confidential_omission"), F.try_to_date(day).alias("period_of_report"))
+
+
+def plausible_amount(value: Column, scale: Column) -> Column:
+    """A table's amount, or NULL where it is smaller than the table's own scale (and not 0): it was then not scaled, or is of another row."""
+    return F.when(~F.coalesce((scale > 1) & (value != 0) & (F.abs(value) < scale), F.lit(False)), value)
