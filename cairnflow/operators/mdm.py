@@ -18,10 +18,10 @@ def exact_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return left.where(F.col(key).isNotNull()).join(right, key).select(left_id, right_id, F.lit(1.0).alias("score"), F.lit("auto").alias("decision"))
 
 
-def fuzzy_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_name: str, right_name: str, kind: str = "company", context: tuple[str, str] | None = None, rare: int = 2) -> DataFrame:
+def fuzzy_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_name: str, right_name: str, kind: str = "company", context: tuple[str, str] | None = None, rare: int = 3) -> DataFrame:
     """The best Jaro-Winkler match of each left record among right ones: (left_id, right_id, score, decision).
 
-    Records meet by the first or the last three letters of any of their ``rare`` rarest words, so a typing error at either end of one hides
+    Records meet by the first or the last three letters of any of their ``rare`` rarest words of three letters or more, so a typing error at either end of one hides
     nothing. With ``context`` a score reaches automatic only if that is known on both sides and equal. decision is auto, review or
     quarantine by the kind's thresholds; a record that meets none is in quarantine without a right id. Ties go to the least right id.
     """
@@ -31,7 +31,7 @@ def fuzzy_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     names = a.select(F.col("__a").alias("n")).unionByName(b.select(F.col("__b").alias("n"))).distinct()
     words = names.select("n", F.explode(F.array_distinct(F.split(F.lower("n"), " "))).alias("w"))
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("c"))
-    told = words.join(counts, "w").groupBy("n").agg(F.slice(F.array_sort(F.collect_list(F.struct("c", "w"))), 1, rare).alias("s"))
+    told = words.join(counts, "w").groupBy("n").agg(F.slice(F.array_sort(F.collect_list(F.struct((F.length("w") < 3).alias("short"), "c", "w"))), 1, rare).alias("s"))
     ends = F.array_distinct(F.flatten(F.transform("s", lambda x: F.array(F.concat(F.lit("<"), F.left(x["w"], F.lit(3))), F.concat(F.right(x["w"], F.lit(3)), F.lit(">"))))))
     keyed = told.select("n", F.explode(ends).alias("k"))
     met = keyed.join(a.select(F.col("__a").alias("n")).distinct(), "n", "left_semi").withColumnRenamed("n", "__a").join(keyed.join(b.select(F.col("__b").alias("n")).distinct(), "n", "left_semi").withColumnRenamed("n", "__b"), "k").select("__a", "__b").distinct()

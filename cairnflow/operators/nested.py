@@ -139,16 +139,18 @@ def cells(nodes: Sequence[Triple], optional: frozenset[str]) -> list[Cell]:
 
 
 _CELLS = "array<struct<path: string, at: array<int>, kind: string, value: string>>"
+_SHAPE = "array<struct<path: string, repeats: boolean>>"
 
 
 def parse_records(df: DataFrame, payload: str, keep: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
-    """``keep`` columns and ``cells`` of every readable record; unreadable, empty and NULL ones give no row.
+    """``keep`` columns, ``cells`` and ``shape`` of every readable record; unreadable, empty and NULL ones give no row.
 
-    Records without any cell keep an empty array: they are readable.
+    Records without any cell keep an empty array: they are readable. The shapes of all records together name every path that any has, and
+    whether it is an array's element in any; one record of some hundred carries what these have.
     """
     optional = frozenset(optional)
     kinds = dict(df.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", cells {_CELLS}"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep) + f", cells {_CELLS}, shape {_SHAPE}"
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,11 +167,29 @@ def parse_records(df: DataFrame, payload: str, keep: Sequence[str], optional: Se
                 at = pa.ListArray.from_arrays(ends(len(c[1]) for c in flat), pa.array(steps, pa.int32()))
                 fields = [pa.array([c[0] for c in flat], pa.string()), at, pa.array([c[2] for c in flat], pa.string()), pa.array([c[3] for c in flat], pa.string())]
                 told = pa.ListArray.from_arrays(ends(map(len, rows)), pa.StructArray.from_arrays(fields, ["path", "at", "kind", "value"]))
-                yield pa.RecordBatch.from_arrays([*(part.column(i).filter(good) for i in range(len(keep))), told], names=[*keep, "cells"])
+                shape = sorted(shape_of(flat).items())
+                pairs = pa.StructArray.from_arrays([pa.array([x for x, _ in shape], pa.string()), pa.array([y for _, y in shape], pa.bool_())], ["path", "repeats"])
+                shapes = pa.ListArray.from_arrays(ends([len(shape), *([0] * (len(rows) - 1))]), pairs)
+                yield pa.RecordBatch.from_arrays([*(part.column(i).filter(good) for i in range(len(keep))), told, shapes], names=[*keep, "cells", "shape"])
 
     return df.select(*keep, payload).mapInArrow(parse, schema)
 
 
+def shape_of(flat: Sequence[Cell]) -> dict[str, bool]:
+    """Every path of some cells, and of what is above them, with whether it is an array's element in any."""
+    out: dict[str, bool] = {}
+    seen: set[tuple[str, tuple[bool, ...]]] = set()
+    for path, at, _, _ in flat:
+        which = (path, tuple(map(bool, at)))
+        if which not in seen:
+            seen.add(which)
+            keys = path.split(STEP)
+            for i in range(1, len(keys) + 1):
+                above = STEP.join(keys[:i])
+                out[above] = out.get(above, False) or which[1][i - 1]
+    return out
+
+
 def plausible(payload: Column) -> Column:
     """Whether a text ends as it begins: what parse_records can read always does, what was cut off mostly doesn't."""
     bare = F.regexp_replace(payload, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
@@ -178,12 +198,13 @@ def plausible(payload: Column) -> Column:
 
 
 def latest_readable(df: DataFrame, payload: str, key: str, order: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
-    """(key, cells) of the readable record that is greatest by ``order`` per key; NULL keys have no record.
+    """(key, cells, shape) of the readable record that is greatest by ``order`` per key; NULL keys have no record.
 
     Only the latest plausible record of a key is parsed; where it can't be read, the one before it is tried. Ties go to the
     greater content hash. The latest are found by an aggregation without the payloads, and a key of any number of records is nowhere gathered.
     """
-    rows = df.where(F.col(key).isNotNull() & plausible(F.col(payload)))
+    rows = df.where(F.col(key).isNotNull() & plausible(F.col(payload))).withColumn("__h", F.xxhash64(payload))
+    order = [*order, "__h"]
     place = F.struct(*order)
     todo, out = rows.groupBy(key).agg(F.max(place).alias("__p")), None
     while True:
@@ -191,8 +212,8 @@ def latest_readable(df: DataFrame, payload: str, key: str, order: Sequence[str],
         same = F.col(key) == F.col("__k")
         for c in order:
             same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-        texts = rows.join(chosen, same, "left_semi").select(key, F.xxhash64(payload).alias("__h"), payload)
-        read = cut(parse_records(texts, payload, [key, "__h"], optional).groupBy(key).agg(F.max_by("cells", "__h").alias("cells")))
+        texts = rows.join(chosen, same, "left_semi").select(key, payload).dropDuplicates([key])  # repeats of one content
+        read = cut(parse_records(texts, payload, [key], optional))
         out = read if out is None else out.unionByName(read)
         failed = todo.join(read.select(key), key, "left_anti").withColumnRenamed("__p", "__last")
         todo = cut(rows.select(key, *order).join(failed, key).where(place < F.col("__last")).groupBy(key).agg(F.max(place).alias("__p")))
@@ -200,14 +221,40 @@ def latest_readable(df: DataFrame, payload: str, key: str, order: Sequence[str],
             return out
 
 
-def repeated_paths(records: DataFrame, column: str = "cells", most: int = MOST_PATHS) -> list[str]:
-    """The paths that are an array's element in any record: found in all of the data, at any depth. Raises beyond ``most``."""
-    cell = records.select(F.explode(column).alias("c")).select("c.path", "c.at").distinct().select(F.split("path", STEP).alias("keys"), "at")
-    steps = cell.select(F.explode(F.filter(F.sequence(F.lit(1), F.size("at")), lambda i: F.get("at", i - 1) > 0)).alias("i"), "keys")
-    found = sorted(r[0] for r in steps.select(F.array_join(F.slice("keys", 1, F.col("i")), STEP)).distinct().limit(most + 1).collect())
+def paths_of(records: DataFrame, names: Mapping[str, Sequence[str]] | None = None, most: int = MOST_PATHS) -> DataFrame:
+    """(path, child_table, field, steps): where the nodes of every path belong: to the nearest path at or above that repeats in any record.
+
+    ``names`` as in child_rows(). steps are the places of the repeated keys in the path. Paths below none have no row. Raises beyond ``most`` paths.
+    """
+    named = {STEP.join(keys): name for name, keys in (names or {}).items()}
+    found = records.select(F.explode("shape").alias("s")).groupBy("s.path").agg(F.max("s.repeats").alias("repeats")).limit(most + 1).collect()
     if len(found) > most:
-        raise ValueError(f"more than {most} repeated paths: keys seem to be data")
-    return found
+        raise ValueError(f"more than {most} paths: keys seem to be data")
+    repeated = {r["path"] for r in found if r["repeats"]} | set(named)
+    rows = []
+    for path in sorted(r["path"] for r in found):
+        keys = path.split(STEP)
+        steps = [i for i in range(1, len(keys) + 1) if STEP.join(keys[:i]) in repeated]
+        if steps:
+            owner = STEP.join(keys[: steps[-1]])
+            rows.append((path, named.get(owner, owner.replace(STEP, ".")), ".".join(keys[steps[-1] :]), steps))
+    return records.sparkSession.createDataFrame(rows, "path string, child_table string, field string, steps array<int>")
+
+
+def _placed(records: DataFrame, key: str, names: Mapping[str, Sequence[str]] | None) -> DataFrame:
+    """(key, child_table, idx, field, kind, value) of every cell at or below a repeated path."""
+    cell = records.select(key, F.explode("cells").alias("c")).select(key, "c.*")
+    placed = cell.join(F.broadcast(paths_of(records, names)), "path")  # at most MOST_PATHS rows
+    return placed.select(key, "child_table", F.transform("steps", lambda i: F.greatest(F.get("at", i - 1), F.lit(1))).alias("idx"), "field", "kind", "value")
+
+
+def _holds() -> Column:
+    return (F.col("field") == "") & F.when(F.col("kind") == "object", F.col("value").try_cast("int") > 0).otherwise(F.col("kind") != "null")
+
+
+def child_keys(records: DataFrame, key: str, names: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """(key, child_table, idx) of the rows of child_rows(), without their fields."""
+    return _placed(records, key, names).where(_holds()).select(key, "child_table", "idx").distinct()
 
 
 def child_rows(records: DataFrame, key: str, names: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
@@ -218,21 +265,8 @@ def child_rows(records: DataFrame, key: str, names: Mapping[str, Sequence[str]]
     no array's element is its single element. A row is a non-empty object or a non-NULL scalar in an element's place; its fields
     are the nodes below it that no deeper repeated path has.
     """
-    records = cut(records)
-    named = {STEP.join(keys): name for name, keys in (names or {}).items()}
-    paths = sorted({*named, *repeated_paths(records)})
-    label = F.create_map(*(F.lit(x) for p in paths for x in (p, named.get(p, p.replace(STEP, "."))))) if paths else F.create_map().cast("map<string,string>")
-    known = F.array(*map(F.lit, paths)).cast("array<string>")
-    cell = records.select(key, F.explode("cells").alias("c")).select(key, F.col("c.path").alias("path"), "c.at", "c.kind", "c.value", F.split("c.path", STEP).alias("keys"))
-    depths = F.filter(F.sequence(F.lit(1), F.size("keys")), lambda i: F.array_contains(known, F.array_join(F.slice("keys", F.lit(1), i), STEP)))
-    placed = cell.withColumn("depths", depths).where(F.size("depths") > 0).withColumn("depth", F.element_at("depths", -1))
-    placed = placed.select(
-        key, F.try_element_at(label, F.array_join(F.slice("keys", F.lit(1), F.col("depth")), STEP)).alias("child_table"), F.transform("depths", lambda i: F.greatest(F.get("at", i - 1), F.lit(1))).alias("idx"),
-        F.array_join(F.slice("keys", F.col("depth") + 1, F.size("keys")), ".").alias("field"), "kind", "value",
-    )
-    holds = (F.col("field") == "") & F.when(F.col("kind") == "object", F.col("value").try_cast("int") > 0).otherwise(F.col("kind") != "null")
-    return placed.groupBy(key, "child_table", "idx").agg(
-        F.max(holds).alias("__holds"),
+    return _placed(records, key, names).groupBy(key, "child_table", "idx").agg(
+        F.max(_holds()).alias("__holds"),
         F.collect_list(F.when((F.col("field") != "") & (F.col("kind") != "object"), F.struct("field", "value"))).alias("fields"),
     ).where("__holds").drop("__holds")
 

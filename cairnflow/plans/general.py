@@ -212,9 +212,13 @@ CHILDREN = {
 WRAPPERS = ["ownershipDocument", "nonDerivativeTransaction", "derivativeTransaction"]
 
 
-def _children(spark: SparkSession, d: str) -> DataFrame:
+def _latest(spark: SparkSession, d: str) -> DataFrame:
     raw = table(spark, d, "raw_payload").select("record_key", "fetched_at", "raw_object_id", "payload")
-    return nested.child_rows(nested.latest_readable(raw, "payload", "record_key", ["fetched_at", "raw_object_id"], WRAPPERS), "record_key", CHILDREN)
+    return nested.latest_readable(raw, "payload", "record_key", ["fetched_at", "raw_object_id"], WRAPPERS)
+
+
+def _children(spark: SparkSession, d: str) -> DataFrame:
+    return nested.child_rows(_latest(spark, d), "record_key", CHILDREN)
 
 
 def _at(i: int, name: str) -> F.Column:
@@ -222,13 +226,13 @@ def _at(i: int, name: str) -> F.Column:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = _children(spark, d).where(F.col("child_table").isin(*CHILDREN))
+    rows = nested.child_keys(_latest(spark, d), "record_key", CHILDREN).where(F.col("child_table").isin(*CHILDREN))
     return rows.select("record_key", "child_table", _at(0, "idx1"), _at(1, "idx2"), _at(2, "idx3"))
 
 
 def p7_child_counts(spark: SparkSession, d: str) -> DataFrame:
     """How many rows every repeated path has, those without a name of their own included."""
-    return _children(spark, d).groupBy("child_table").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("record_key").alias("n_records"))
+    return nested.child_keys(_latest(spark, d), "record_key", CHILDREN).groupBy("child_table").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("record_key").alias("n_records"))
 
 
 def p7_owners(spark: SparkSession, d: str) -> DataFrame:
