@@ -124,7 +124,7 @@ def jaro_winkler(a: str, b: str) -> float:
     if not hits:
         return 0.0
     other = [b[j] for j in range(len(b)) if taken[j]]
-    m, swaps = len(hits), sum(x != y for x, y in zip(hits, other)) / 2
+    m, swaps = len(hits), sum(x != y for x, y in zip(hits, other)) // 2  # half of an odd one does not count
     jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
     prefix = 0
     for x, y in zip(a[:4], b[:4]):
