@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_cuts: list[str] = []
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, app: str = "cairnflow") -> SparkSession:
@@ -58,5 +59,15 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), f"cut-{uuid.uuid4().hex}")
+    _cuts.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Removes the tables that cut() has written in this process and returns their number: for long sessions, once no result that rests on them is read any more."""
+    n = len(_cuts)
+    while _cuts:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_cuts.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n

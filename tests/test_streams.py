@@ -70,3 +70,15 @@ def test_retention_keeps_the_active_one(spark):
     rows = spark.createDataFrame([("g1", "2024-01-01"), ("g2", "2024-02-01"), ("g3", "2024-03-01")], "g string, at string").withColumn("at", F.to_date("at"))
     got = {r.g: r.keep for r in writers.retained(rows, "g", "at", 1, 10, "2024-06-01", "g1").collect()}
     assert got == {"g1": True, "g2": False, "g3": True}
+
+
+def test_release_removes_the_cuts(spark):
+    from cairnflow import session
+
+    folder = session.shared_folder(spark).removeprefix("file://")
+    held = lambda: {f for f in (os.listdir(folder) if os.path.isdir(folder) else ()) if f.startswith("cut-")}
+    session.release(spark)
+    before = held()
+    df = session.cut(spark.range(3))
+    assert df.count() == 3 and len(held() - before) == 1
+    assert session.release(spark) == 1 and session.release(spark) == 0 and held() == before
