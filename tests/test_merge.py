@@ -75,7 +75,7 @@ def test_stream_equals_batch_and_replays_change_nothing(spark, tmp_path):
     assert os.path.isdir(tmp_path / "ck")
 
 
-@pytest.mark.parametrize("name", ["ups_merge_whole", "ups_upsert_whole", "ups_seed_whole"])
+@pytest.mark.parametrize("name", ["ups_merge", "ups_upsert", "ups_seed"])
 def test_merges_take_whole_tables(spark, small, name):
     """Every customer, at a size where the keys go far beyond 1000, is matched, kept or inserted anew."""
     base = small.replace("sf0.001", "sf0.1")
