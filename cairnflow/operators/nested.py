@@ -192,7 +192,7 @@ def shape_of(flat: Sequence[Cell]) -> dict[str, bool]:
 
 def plausible(payload: Column) -> Column:
     """Whether a text ends as it begins: what parse_records can read always does, what was cut off mostly doesn't."""
-    bare = F.regexp_replace(payload, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
+    bare = F.btrim(payload, F.lit(" \t\n\r"))
     first, last = F.left(bare, F.lit(1)), F.right(bare, F.lit(1))
     return F.when(first == "{", last == "}").when(first == "[", last == "]").when(first == '"', last == '"').otherwise(bare != "")
 
@@ -203,20 +203,21 @@ def latest_readable(df: DataFrame, payload: str, key: str, order: Sequence[str],
     Only the latest plausible record of a key is parsed; where it can't be read, the one before it is tried. Ties go to the
     greater content hash. The latest are found by an aggregation without the payloads, and a key of any number of records is nowhere gathered.
     """
-    rows = df.where(F.col(key).isNotNull() & plausible(F.col(payload))).withColumn("__h", F.xxhash64(payload))
+    rows = df.where(F.col(key).isNotNull()).withColumn("__h", F.xxhash64(payload))
     order = [*order, "__h"]
     place = F.struct(*order)
+    rows, texts_of = cut(rows.where(plausible(F.col(payload))).select(key, *order)), rows
     todo, out = rows.groupBy(key).agg(F.max(place).alias("__p")), None
     while True:
         chosen = todo.select(F.col(key).alias("__k"), *(F.col(f"__p.{c}").alias(f"__{c}") for c in order))
         same = F.col(key) == F.col("__k")
         for c in order:
             same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-        texts = rows.join(chosen, same, "left_semi").select(key, payload).dropDuplicates([key])  # repeats of one content
+        texts = texts_of.join(chosen, same, "left_semi").select(key, payload).dropDuplicates([key])  # repeats of one content
         read = cut(parse_records(texts, payload, [key], optional))
         out = read if out is None else out.unionByName(read)
         failed = todo.join(read.select(key), key, "left_anti").withColumnRenamed("__p", "__last")
-        todo = cut(rows.select(key, *order).join(failed, key).where(place < F.col("__last")).groupBy(key).agg(F.max(place).alias("__p")))
+        todo = cut(rows.join(failed, key).where(place < F.col("__last")).groupBy(key).agg(F.max(place).alias("__p")))
         if todo.isEmpty():
             return out
 
