@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -134,6 +135,39 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro) if jaro > 0.7 else jaro
 
 
+def jaro_winkler_rows(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """jaro_winkler of as many pairs of texts of one length each, given as rows of codes, at most 64 a row; 0 where ``least`` isn't reached."""
+    (n, i), j = a.shape, b.shape[1]
+    reach = max(0, max(i, j) // 2 - 1)
+    taken, hit = np.zeros(n, dtype=np.uint64), np.zeros((n, i), dtype=bool)
+    wide = np.zeros((n, 64), dtype=bool)
+    for k in range(i):
+        np.equal(b, a[:, k, None], out=wide[:, :j])
+        wide[:, : max(0, k - reach)] = False
+        wide[:, min(j, k + reach + 1) : j] = False
+        free = np.packbits(wide, axis=1, bitorder="little").view(np.uint64)[:, 0] & ~taken
+        first = free & (~free + np.uint64(1))
+        taken |= first
+        hit[:, k] = first != 0
+    m = hit.sum(1)
+    same = np.logical_and.accumulate(a[:, :4][:, : min(i, j)] == b[:, :4][:, : min(i, j)], axis=1).sum(1)
+
+    def score(m: np.ndarray, swaps, same: np.ndarray) -> np.ndarray:
+        jaro = (m / i + m / j + (m - swaps) / np.maximum(m, 1)) / 3
+        return np.where(jaro > 0.7, jaro + 0.1 * same * (1 - jaro), jaro)
+
+    out = np.zeros(n)
+    at = np.flatnonzero((m > 0) & (score(m, 0, same) >= least))
+    if len(at):
+        left = np.take_along_axis(a[at], np.argsort(~hit[at], axis=1, kind="stable"), 1)
+        theirs = np.unpackbits(taken[at].view(np.uint8).reshape(len(at), 8), axis=1, bitorder="little")[:, :j] > 0
+        right = np.take_along_axis(b[at], np.argsort(~theirs, axis=1, kind="stable"), 1)
+        both = min(i, j)
+        swaps = ((left[:, :both] != right[:, :both]) & (np.arange(both) < m[at, None])).sum(1) // 2
+        out[at] = score(m[at], swaps, same[at])
+    return np.where(out >= least, out, 0.0)
+
+
 @F.pandas_udf(DoubleType())
 def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler over Arrow batches; NULL with NULL."""

@@ -333,8 +333,8 @@ _BARE = "nullif(array_to_string(list_transform(list_filter(string_split_regex(lo
 s AS (SELECT entity_id, crd_number, jaro_winkler_similarity(a.n, b.n) AS score FROM a JOIN b ON a.n IS NOT NULL AND b.n IS NOT NULL), t AS (SELECT * FROM s WHERE score >= 0.95) SELECT entity_id, arg_min(crd_number, (-score, crd_number)) AS crd_number, round(max(score), 9) AS score FROM t GROUP BY 1""")
 def md_fuzzy(spark, d):
     """Entities whose name matches an adviser's by itself; against all pairs."""
-    m = mdm.fuzzy_matches(table(spark, d, "mdm_company"), table(spark, d, "sec_adv_filing").where("crd_number IS NOT NULL"), "entity_id", "crd_number", "canonical_name", "adviser_name")
-    return m.where("decision = 'auto'").select("entity_id", "crd_number", F.round("score", 9).alias("score"))
+    m = mdm.fuzzy_matches(table(spark, d, "mdm_company"), table(spark, d, "sec_adv_filing").where("crd_number IS NOT NULL"), "entity_id", "crd_number", "canonical_name", "adviser_name", down_to="auto")
+    return m.select("entity_id", "crd_number", F.round("score", 9).alias("score"))
 
 
 @query("SELECT DISTINCT coalesce(entity_name, '') AS entity_name, " + _BARE.format("entity_name") + " AS bare FROM sec_company")
