@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from cairnflow.llm.names import _LEGAL_SET, name_tokens, organisation_likeness, word_likeness
 from cairnflow.session import cut
 
-#: Walks that train the vectors, at most, and walks of one record: a sample by hash of the records. All records are indexed.
-TRAIN_WALKS, COPIES = 24_000, 4
-#: Neighbours of a node among which a walk chooses.
+#: Walks of every record, and sentences (two of a walk) that one task trains on.
+COPIES, PART = 4, 100_000
+#: Attributes of a word that lie together on average.
 SLOTS = 8
 #: Words and 3-grams are hashed to as many rows of the model, which bounds it whatever the vocabulary.
 ROWS = 1 << 14
@@ -67,33 +67,35 @@ def attribute_words(attributes: DataFrame) -> DataFrame:
     return attributes.where(F.col("text").isNotNull()).distinct().join(split, ["kind", "text"]).select("record", F.concat_ws("\t", "kind", "text").alias("attribute"), "word")
 
 
-def walks(links: DataFrame, records: int, seed: int = 7, most: int = TRAIN_WALKS, hops: int = 3) -> DataFrame:
+def walks(links: DataFrame, records: int | None = None, seed: int = 7, hops: int = 3) -> DataFrame:
     """(walk, words): random walks attribute - record - attribute - word - attribute - word - ..., two words of every attribute passed.
 
-    COPIES walks start at every record, or at as many records, taken by hash, as ``most`` walks allow; ``records`` is their number. A node
-    offers SLOTS neighbours, the least by as many hashes: a fixed random choice made by one aggregation
-    that reduces on the map side, so a place that a third of all records share is no hot spot.
+    COPIES walks start at every record; ``records`` isn't needed. A walk goes on from a word to any of its attributes: these lie in drawers of SLOTS on
+    average, one of which is drawn, so a place that a third of all records share is no hot spot. A walk that draws an empty drawer stays where it is.
     """
-    attributes = cut(links.groupBy("record", "attribute").agg(F.collect_set("word").alias("words")))
-    some = lambda *by: F.array(*(F.min_by("words", F.xxhash64(*by, F.lit(i))) for i in range(SLOTS)))
-    of_word = cut(attributes.select("record", "attribute", "words", F.explode("words").alias("word")).groupBy("word").agg(some("record", "attribute").alias("onward")))
+    sizes = links.select("record", "attribute", "word").distinct().groupBy("word").agg(F.ceil(F.count(F.lit(1)) / SLOTS).cast("int").alias("drawers"))
+    attributes = cut(links.join(sizes, "word").groupBy("record", "attribute").agg(F.array_sort(F.collect_set(F.struct("word", "drawers"))).alias("words")))
+    one = attributes.select(F.xxhash64("record", "attribute", F.lit(seed)).alias("h"), "words", F.explode("words").alias("w"))
+    of_word = cut(one.groupBy(F.col("w.word").alias("word"), F.pmod("h", "w.drawers").alias("drawer")).agg(F.transform(F.array_sort(F.collect_list(F.struct("h", "words"))), lambda x: x["words"]).alias("onward")))
     drawn = lambda n, *what: F.pmod(F.xxhash64("walk", *map(F.lit, what), F.lit(seed)), n).cast("int")
     word = lambda c, *what: F.get(c, drawn(F.size(c), *what))
-    starts = attributes.where(F.pmod(F.xxhash64("record", F.lit(seed)), F.lit(1_000_003)) < F.lit(1_000_003 * min(1.0, most / max(1, COPIES * records))))
-    walkers = starts.groupBy("record").agg(some("attribute").alias("own")).select(F.explode(F.sequence(F.lit(1), F.lit(COPIES))).alias("copy"), "record", "own").select(F.xxhash64("record", "copy").alias("walk"), "own")
-    walkers = walkers.select("walk", F.get("own", drawn(F.lit(SLOTS), 1)).alias("a"), F.get("own", drawn(F.lit(SLOTS), 2)).alias("b"))
+    # A record's attributes are drawn anew for every copy, by one aggregation that reduces on the map side.
+    own = F.array(*(F.struct(*(F.min_by("words", F.xxhash64("attribute", "record", F.lit(2 * i + j))).alias("ab"[j]) for j in range(2))) for i in range(COPIES)))
+    walkers = attributes.groupBy("record").agg(own.alias("own")).select("record", F.posexplode("own").alias("copy", "own")).select(F.xxhash64("record", "copy").alias("walk"), "own.a", "own.b")
     walkers = walkers.select("walk", F.array(word("a", 3), word("a", 4), word("b", 5), word("b", 6)).alias("seen"))
     for i in range(1, hops):
-        onward = walkers.join(of_word, F.element_at("seen", -1) == F.col("word")).select("walk", "seen", F.get("onward", drawn(F.lit(SLOTS), i)).alias("a"))
-        walkers = onward.select("walk", F.concat("seen", F.array(word("a", i, 1), word("a", i, 2))).alias("seen"))
-    return walkers.select("walk", F.col("seen").alias("words"))
+        at = walkers.select("walk", "seen", F.element_at("seen", -1).alias("last"))
+        at = at.select("walk", "seen", F.col("last.word").alias("word"), drawn(F.col("last.drawers"), i, "drawer").cast("long").alias("drawer"))
+        onward = at.join(of_word.withColumn("drawer", F.col("drawer").cast("long")), ["word", "drawer"], "left").select("walk", "seen", word("onward", i).alias("a"))
+        walkers = onward.select("walk", F.when(F.col("a").isNull(), F.col("seen")).otherwise(F.concat("seen", F.array(word("a", i, 1), word("a", i, 2)))).alias("seen"))
+    return walkers.select("walk", F.transform("seen", lambda x: x["word"]).alias("words"))
 
 
 def train(walked: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) -> np.ndarray:
     """Vectors of all model rows, unit length: skip-gram over the words of every walk, alone and each with one of its 3-grams.
 
     Every row also has a fixed random direction, half of its vector, so that words of one company still differ and
-    rows that no walk saw have one.
+    rows that no walk saw have one. Beyond PART sentences several tasks train on parts of them, and their vectors are averaged after each round.
     """
     from pyspark.ml.feature import Word2Vec
 
@@ -108,8 +110,8 @@ def train(walked: DataFrame, dimensions: int = DIMENSIONS, seed: int = 7) -> np.
     vectors = np.random.default_rng(seed).standard_normal((ROWS, dimensions)).astype(np.float32)
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
     corpus = cut(walked.mapInPandas(sentences, "rows array<string>").where(F.size("rows") > 1))
-    if not corpus.isEmpty():
-        model = Word2Vec(vectorSize=dimensions, windowSize=4, minCount=1, numPartitions=1, maxIter=2, seed=seed, inputCol="rows", outputCol="out").fit(corpus)
+    if n := corpus.count():
+        model = Word2Vec(vectorSize=dimensions, windowSize=4, minCount=1, numPartitions=math.ceil(n / PART), maxIter=2, seed=seed, inputCol="rows", outputCol="out").fit(corpus)
         seen = model.getVectors().toPandas()  # at most ROWS rows
         if len(seen):
             found = np.stack([v.toArray() for v in seen["vector"]]).astype(np.float32)
@@ -428,7 +430,7 @@ def match_records(index: DataFrame, attributes: DataFrame, places: DataFrame, ac
     told = told.unionByName(own.select(F.concat(F.lit("q:"), "query").alias("record"), "kind", "text")).unionByName(places.where(F.col("query").isNotNull()).select(F.concat(F.lit("q:"), "query").alias("record"), F.lit("place").alias("kind"), F.col("place").alias("text")))
     links = cut(attribute_words(told))
     records = links.agg(F.countDistinct("record").alias("n"), F.countDistinct(F.when(F.col("record").startswith("e:"), F.col("record"))).alias("e")).first()
-    vectors = train(walks(links, records["n"]))
+    vectors = train(walks(links))
     texts = links.where(~F.col("attribute").startswith("place\t"))
     # A query is looked up by all its names, by its own alone and by those of its parts alone: one badly typed name then hides nothing.
     views = [texts.where(F.col("attribute").startswith(f"{k}\t")).withColumn("record", F.concat(F.lit(p), _bare("record"))) for k, p in (("own", "o:"), ("part", "p:"))]

@@ -25,6 +25,18 @@ def test_mixture_separates_two_kinds_of_pairs():
     assert linkage.mixture(np.zeros((0, 2), dtype=int), np.zeros(0), (5, 5)).shape == (5, 5)
 
 
+def test_walks_start_at_every_record_and_reach_all_of_a_word(spark):
+    """No record is left out of the training, however many there are, and a common word leads to all its attributes."""
+    n = 8_000
+    links = spark.range(n).select(F.concat(F.lit("e:"), "id").alias("record"), F.concat(F.lit("name\t"), "id").alias("attribute"), F.explode(F.array(F.lit("common"), F.concat(F.lit("w"), "id"))).alias("word"))
+    walked = linkage.walks(links, n).collect()
+    assert len(walked) == len({r.walk for r in walked}) == linkage.COPIES * n
+    met = {w for r in walked for w in r.words[4:]} - {"common"}
+    assert {w for r in walked for w in r.words} == {"common", *(f"w{i}" for i in range(n))}
+    assert len(met) > 0.75 * n
+    assert all(len(r.words) >= 4 for r in walked)
+
+
 def firms(spark):
     rnd = random.Random(3)
     word = lambda: "".join(rnd.choice("bdfgklmnprstvz" if i % 2 == 0 else "aeiou") for i in range(7)).capitalize()
