@@ -77,6 +77,21 @@ def test_blocks_find_what_all_pairs_find(spark):
     assert len(got & want) >= 0.95 * len(want) and got <= want  # 87 of 90: two errors at both ends of a word escape
 
 
+def test_common_keys_leave_no_pair_out(spark):
+    """Names that share nothing but keys of many names are compared, too: what all pairs find is found, whatever the size of blocks and parts."""
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("bdfgklmnprstvz" if i % 2 == 0 else "aeiou") for i in range(8))
+    brands = [word() for _ in range(40)]
+    firms = [[w, "ridge", "asset", "management", "llc"] for w in brands + [f"x{w[1:-1]}q" for w in brands[:25]]]  # another beginning and another end
+    forms = spark.createDataFrame([(i, "organisation", f) for i, f in enumerate(firms)], "id long, kind string, tokens array<string>")
+    want = {(i, j) for i in range(len(firms)) for j in range(i + 1, len(firms)) if names.organisation_likeness(firms[i], firms[j]) >= 0.8}
+    got = [(r.a, r.b) for r in names.matched_forms(forms, 0.8, block=5).collect()]
+    assert len(want) >= 25 and sorted(got) == sorted(want)
+    held = forms.withColumn("keys", F.when(F.col("id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2), F.lit(3))).cast("array<bigint>")).withColumn("kind", F.lit("person"))
+    pairs = [(r.a, r.b) for r in names.common_pairs(held, part=7).collect()]
+    assert sorted(pairs) == [(i, j) for i in range(len(firms)) for j in range(i + 1, len(firms))]
+
+
 def test_no_alike_pair_is_hopeless(spark):
     """names.hopeless against the comparison itself, over misspelt, cut, joined, split, reordered and unrelated names."""
     rnd = random.Random(8)
