@@ -92,6 +92,60 @@ def test_common_keys_leave_no_pair_out(spark):
     assert sorted(pairs) == [(i, j) for i in range(len(firms)) for j in range(i + 1, len(firms))]
 
 
+def test_common_keys_shuffle_no_pairs_of_classes(spark):
+    """Names that share one common key and have others of their own: what is shuffled follows the names, not their pairs."""
+    rnd = random.Random(10)
+    word = lambda: "".join(rnd.choice("bdfgklmnprstvz" if i % 2 == 0 else "aeiou") for i in range(10))
+    firms = [[word(), "ridge", "asset", "management", "llc"] for _ in range(1_500)]
+    firms += [[f"{f[0][:4]}{f[0][5:]}", *f[1:]] for f in firms[:20]]
+    held = spark.createDataFrame([(i, "organisation", f, [-1, i]) for i, f in enumerate(firms)], "id long, kind string, tokens array<string>, keys array<long>")
+    shuffled = lambda: spark._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = shuffled()
+    pairs = {(r.a, r.b) for r in names.common_pairs(held).collect()}
+    assert shuffled() - before < 4_000_000 and pairs >= {(i, 1_500 + i) for i in range(20)}
+
+
+def test_near_words_against_all_pairs(spark):
+    """Misspelt, cut, transposed and abbreviated words: those near are the pairs that word_likeness puts at NEAR or above."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("bdlmnrt" if i % 2 == 0 else "aeo") for i in range(rnd.randint(1, 11)))
+    words = {word() for _ in range(150)}
+    words |= {w[: (i := rnd.randrange(len(w)))] + w[i + rnd.randint(1, 2) :] for w in [*words]} | {w[0] + "".join(c for c in w[1:] if rnd.random() < 0.6) for w in [*words]} | {"".join(rnd.sample(w, len(w))) for w in [*words][:40]}
+    words = sorted(words - {""})
+    got = [(r.w, r.v) for r in names.near_words(spark.createDataFrame([("fund", w) for w in words], "kind string, w string")).collect()]
+    want = [(w, v) for w in words for v in words if names.word_likeness(w, v) >= names.NEAR]
+    assert len(want) > 2 * len(words) and sorted(got) == want
+
+
+@pytest.mark.parametrize("kind", ["organisation", "person"])
+def test_common_pairs_hold_every_alike_pair(spark, kind):
+    """Against all pairs: names with misspelt, abbreviated, joined, split, left out and reordered words, of which several may differ."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("bdfgklmnprst" if i % 2 == 0 else "aeiou") for i in range(rnd.randint(3, 9)))
+    usual = ["ridge", "oak", "capital", "trust", "company", "#2", "llc"] if kind == "organisation" else ["thomas", "mary", "jo", "k", "m"]
+
+    def twist(tokens):
+        out = list(tokens)
+        for _ in range(rnd.randint(1, 3)):
+            i = rnd.randrange(len(out))
+            w = out[i]
+            j = rnd.randrange(len(w))
+            out[i : i + 1] = rnd.choice([[w[:j] + w[j + 1 :] or w], [w[:j] + "e" + w[j:]], [w[:j], w[j:]] if 1 < j < len(w) - 1 else [w], [w[0] + "".join(c for c in w[1:] if c not in "aeiou")], [w[0]] if kind == "person" else [w], [w]])
+            if rnd.random() < 0.4 and len(out) > 1:
+                k = rnd.randrange(len(out) - 1)
+                out[k : k + 2] = [out[k] + out[k + 1]]
+            if rnd.random() < 0.2:
+                rnd.shuffle(out)
+        return out
+
+    base = [[word() for _ in range(rnd.randint(1, 3))] + rnd.sample(usual, 2) for _ in range(60)]
+    base = [x for b in base for x in (b, *(twist(b) for _ in range(6)))] + [["company", "trust"], ["compny", "trust"], ["trst", "company", "llc"]]
+    held = spark.createDataFrame([(i, kind, b, [1]) for i, b in enumerate(base)], "id long, kind string, tokens array<string>, keys array<long>")
+    got = [(r.a, r.b) for r in names.common_pairs(held, part=20).collect()]
+    want = {(i, j) for i in range(len(base)) for j in range(i + 1, len(base)) if names.likeness(kind, base[i], base[j]) >= 0.8 or names.likeness(kind, base[j], base[i]) >= 0.8}
+    assert len(want) > 100 and len(got) == len({*got}) and not want - {*got}
+
+
 def test_no_alike_pair_is_hopeless(spark):
     """names.hopeless against the comparison itself, over misspelt, cut, joined, split, reordered and unrelated names."""
     rnd = random.Random(8)
