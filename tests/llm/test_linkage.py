@@ -57,6 +57,29 @@ def test_matches(spark):
     assert all(0 < c <= 1 for c in got.values())
 
 
+def planned(df):
+    """(exchanges, aggregates, joins that broadcast) of a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange "), plan.count("Aggregate("), plan.count("BroadcastHashJoin")
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    """The driver takes a plan anew, in text and as a tree, at every stage that ends, so no step has a long one."""
+    plans, cut = [], linkage.cut
+    monkeypatch.setattr(linkage, "cut", lambda df: plans.append(planned(df)) or cut(df))
+    plans.append(planned(linkage.match_records(*firms(spark))))
+    assert max(n for n, _, _ in plans) <= 10  # 16 before
+
+
+def test_small_sides_are_not_broadcast_exploded(spark):
+    """Indexed keys, exploded, are many times what their file leads to expect; the driver doesn't gather them."""
+    rnd = np.random.default_rng(5)
+    frame = spark.createDataFrame([(f"e{i}", list(map(float, rnd.standard_normal(linkage.DIMENSIONS)))) for i in range(40)], "record string, vector array<float>")
+    index = linkage.cut(linkage.hash_keys(frame, 3).withColumn("id", F.xxhash64("record")))
+    views = linkage.cut(linkage.hash_keys(frame, 3, True).withColumn("query", F.xxhash64("record")))
+    assert planned(linkage.near(views, index))[2] == 0
+
+
 def test_empty_sides(spark):
     index, told, places = firms(spark)
     assert linkage.match_records(index.where("false"), told, places).count() == 0
